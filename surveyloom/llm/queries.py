@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from surveyloom.llm.best_fit_packing import op2_best_fit_packing
+from surveyloom.llm.bpe import op7_bpe
 from surveyloom.llm.chat_format import OP9_SQL, op9_chat_format
+from surveyloom.llm.packed_matrices import op8_packed_matrices
 from surveyloom.llm.quality_rules import op6_quality_rules
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_bpe": op7_bpe,
+    "op8_packed_matrices": op8_packed_matrices,
     "op9_chat_format": op9_chat_format,
 }
 
