@@ -7,13 +7,15 @@ from surveyloom.llm.bpe import op7_bpe
 from surveyloom.llm.chat_format import OP9_SQL, op9_chat_format
 from surveyloom.llm.packed_matrices import op8_packed_matrices
 from surveyloom.llm.quality_rules import op6_quality_rules
+from surveyloom.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_warc": op3_warc,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
     "op8_packed_matrices": op8_packed_matrices,
     "op9_chat_format": op9_chat_format,
 }
 
-ORACLES = {"op9_chat_format": OP9_SQL}
+ORACLES = {"op3_warc": OP3_SQL, "op9_chat_format": OP9_SQL}
