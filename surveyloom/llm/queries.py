@@ -7,6 +7,7 @@ from surveyloom.llm.bpe import op7_bpe
 from surveyloom.llm.chat_format import OP9_SQL, op9_chat_format
 from surveyloom.llm.packed_matrices import op8_packed_matrices
 from surveyloom.llm.quality_rules import op6_quality_rules
+from surveyloom.llm.style_tree import op10_style_tree
 from surveyloom.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_packed_matrices": op8_packed_matrices,
     "op9_chat_format": op9_chat_format,
+    "op10_style_tree": op10_style_tree,
 }
 
 ORACLES = {"op3_warc": OP3_SQL, "op9_chat_format": OP9_SQL}
