@@ -5,12 +5,14 @@ from __future__ import annotations
 from surveyloom.llm.best_fit_packing import op2_best_fit_packing
 from surveyloom.llm.bpe import op7_bpe
 from surveyloom.llm.chat_format import OP9_SQL, op9_chat_format
+from surveyloom.llm.embedding_dedup import op1_embedding_dedup
 from surveyloom.llm.packed_matrices import op8_packed_matrices
 from surveyloom.llm.quality_rules import op6_quality_rules
 from surveyloom.llm.style_tree import op10_style_tree
 from surveyloom.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_warc": op3_warc,
     "op6_quality_rules": op6_quality_rules,
