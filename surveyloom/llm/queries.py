@@ -6,6 +6,7 @@ from surveyloom.llm.best_fit_packing import op2_best_fit_packing
 from surveyloom.llm.bpe import op7_bpe
 from surveyloom.llm.chat_format import OP9_SQL, op9_chat_format
 from surveyloom.llm.embedding_dedup import op1_embedding_dedup
+from surveyloom.llm.ngram_join import op5_ngram_join
 from surveyloom.llm.packed_matrices import op8_packed_matrices
 from surveyloom.llm.quality_rules import op6_quality_rules
 from surveyloom.llm.style_tree import op10_style_tree
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_warc": op3_warc,
+    "op5_ngram_join": op5_ngram_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
     "op8_packed_matrices": op8_packed_matrices,
