@@ -9,6 +9,7 @@ from surveyloom.llm.embedding_dedup import op1_embedding_dedup
 from surveyloom.llm.ngram_join import op5_ngram_join
 from surveyloom.llm.packed_matrices import op8_packed_matrices
 from surveyloom.llm.quality_rules import op6_quality_rules
+from surveyloom.llm.repeat_removal import op4_repeat_removal
 from surveyloom.llm.style_tree import op10_style_tree
 from surveyloom.llm.warc import OP3_SQL, op3_warc
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_warc": op3_warc,
+    "op4_repeat_removal": op4_repeat_removal,
     "op5_ngram_join": op5_ngram_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
