@@ -49,6 +49,9 @@ NUM, DEN = 75, 100
 #: Bytes of text hashed at once; shingles sent at once; bytes of text for each partition of shingles; sets in a block of a trie.
 PORTION, WINDOW, TEXT_A_PARTITION, BLOCK, ROWS_A_TASK = 1 << 21, 1 << 22, 1 << 24, 8192, 20_000
 
+#: Ids that are broadcast (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 500_000
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
@@ -402,3 +405,22 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without those that have a near-duplicate of a smaller id.
+
+    Rows without an id stay. Of rows with equal ids and texts one stays.
+    """
+    found = written(jaccard_components(docs), "near-copies")
+    ids = found.where("doc_id IS NOT NULL")
+    gone = ids.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    n = gone.count()
+    if n <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    twice = ids.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not twice.isEmpty():
+        again = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        left = left.join(twice, "doc_id", "left_anti").unionByName(again.select(left.columns))
+    return left.select(docs.columns)

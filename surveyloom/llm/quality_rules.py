@@ -109,3 +109,15 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text passes the rules."""
+    at = docs.columns.index("text")
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=ZSTD_LEVEL).compress
+        for batch in batches:
+            yield batch.filter(pa.array([judge(t.as_py(), squeeze)[6] for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(good, docs.schema)

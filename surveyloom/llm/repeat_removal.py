@@ -422,3 +422,33 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def op4_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = without_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"))
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with all their columns and what is left of their texts; documents with nothing left go.
+
+    Bytes of a character that is removed in part go with it.
+    """
+    spans = written(repeated_spans(docs).where("n_removed > 0").dropDuplicates(["doc_id", "sha"]), "repeated")
+    spans = spans.select(F.col("doc_id").alias("key"), F.col("sha").alias("key_sha"), F.when(F.col("n_removed") == F.col("n"), F.array(F.lit(0))).otherwise(F.col("starts")).alias("starts"), F.when(F.col("n_removed") == F.col("n"), F.array(F.col("n").cast("int"))).otherwise(F.col("ends")).alias("ends"))
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    names = docs.columns
+    packed = docs.select("doc_id", F.struct(*docs.columns).alias("row"), sha.alias("text_sha"))
+    both = packed.join(spans, packed["doc_id"].cast("long").eqNullSafe(spans["key"]) & (packed["text_sha"] == spans["key_sha"]), "left")
+    wide = both.select("row.*", F.col("starts").alias(f"{'_'.join(names)}_starts"), F.col("ends").alias(f"{'_'.join(names)}_ends"))
+    at = names.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, keep = [], []
+            for text, starts, ends in zip(batch.column(at), batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True):
+                text = text.as_py()
+                if starts:
+                    raw = text.encode("utf-8")
+                    text = b"".join(raw[a:b] for a, b in zip([0, *ends], [*starts, len(raw)], strict=True)).decode("utf-8", "ignore")
+                out.append(text)
+                keep.append(not starts or bool(text))
+            columns = [pa.array(out, pa.string()) if k == at else batch.column(k) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+
+    return wide.mapInArrow(cut, docs.schema)
