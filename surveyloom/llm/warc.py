@@ -36,6 +36,8 @@ from surveyloom.llm.tables import shared_dir, table, written
 
 SMALL = 100
 SEGMENT, CHUNK, RECORDS_A_FILE = 32_768, 8_192, 10_000
+#: Bytes of records that Python hands over at once; pages handed on at once; marked pages that are broadcast (150 bytes each).
+HANDED, PAGES, BROADCAST_MARKS = 1 << 22, 500, 50_000
 VERSION, DATE = "WARC/1.1", "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -106,25 +108,32 @@ def write_warc(pages: DataFrame, path: str) -> None:
     """Write (page_id, url, html) as archives below ``path``."""
     html = F.coalesce("html", F.lit(""))
     pages = pages.select(F.col("page_id").cast("long"), "url", "html", F.sha2(html, 256).alias("digest"))
-    keys = pages.select("page_id", "digest", F.octet_length(html).alias("size")).distinct()
+    keys = pages.select("page_id", "digest", F.octet_length(html).alias("size"))
+    keys = written(keys.groupBy("page_id", "digest").agg(F.first("size").alias("size"), (F.count(F.lit(1)) > 1).alias("repeated")), "page-keys")
     firsts = keys.where(F.col("size") >= SMALL).groupBy("digest").agg(F.min("page_id").alias("first"), F.lit(True).alias("shared"))
     again = F.col("shared").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     record_id = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(":"), "digest", F.lit(">"))
-    kinds = keys.join(firsts, "digest", "left").select(
-        F.col("page_id").alias("key"), F.col("digest").alias("key_digest"), record_id("page_id").alias("record_id"), F.when(again, record_id("first")).alias("refers_to")
-    )
-    same = pages["page_id"].eqNullSafe(kinds["key"]) & (pages["digest"] == kinds["key_digest"])
-    one = pages.dropDuplicates(["page_id", "digest"]).join(kinds, same)
+    # only pages that aren't plain responses are marked; the html moves only if these are too many to broadcast
+    marks = keys.join(firsts, "digest", "left").withColumn("refers_to", F.when(again, record_id("first"))).where("repeated OR refers_to IS NOT NULL")
+    marks = written(marks.select(F.col("page_id").alias("key"), F.col("digest").alias("key_digest"), "refers_to", "repeated"), "page-marks")
+    n_marks = marks.count()
+    if n_marks <= BROADCAST_MARKS:
+        marks = F.broadcast(marks)
+    same = pages["page_id"].eqNullSafe(marks["key"]) & (pages["digest"] == marks["key_digest"])
+    one = pages.join(marks, same, "left").withColumn("record_id", record_id("page_id"))
+    if n_marks and not keys.where("repeated").isEmpty():
+        twice = one.where("repeated").dropDuplicates(["page_id", "digest"])
+        one = one.where("repeated IS NULL OR NOT repeated").unionByName(twice)
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (x.slice(k, PAGES) for x in batches for k in range(0, x.num_rows, PAGES)):
             out, held = [], 0
             for row in zip(*batch.columns, strict=True):
                 record_id, url, text, digest, refers_to = (x.as_py() for x in row)
                 for x in page_records(record_id, url, (text or "").encode("utf-8"), digest, refers_to):
                     out.append(x)
                     held += len(x)
-                if held > 1 << 24:
+                if held > HANDED:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
                     out, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
@@ -179,7 +188,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 for x in parsed(gzip.GzipFile(fileobj=io.BytesIO(raw)) if raw[:2] == b"\x1f\x8b" else io.BytesIO(raw)):
                     rows.append(x)
                     held += len(x[-1])
-                    if held > 1 << 24:
+                    if held > HANDED:
                         yield out(rows)
                         rows, held = [], 0
                 if rows:
@@ -187,7 +196,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.strip().split()[0] for x in PAGE.split(",")]
-        for batch in batches:
+        for batch in (x.slice(k, PAGES) for x in batches for k in range(0, x.num_rows, PAGES)):
             payloads = []
             for kind, segments, total in zip(batch.column(1), batch.column(5), batch.column(6), strict=True):
                 parts, total = segments.as_py(), total.as_py()
