@@ -1,7 +1,476 @@
-"""Registered survey queries and their DuckDB equivalents."""
+"""Registered survey queries and their DuckDB equivalents, written independently of each other."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from surveyloom.functions.nulls import count_distinct_na
+from surveyloom.functions.schema import CLEAN_COLUMNS, CLEAN_TYPES, DATA_LEVELS, SURVEY_KEY
+from surveyloom.operators import checks, clean, enrich, framework, population, profile, split, validity
+from surveyloom.plans import pipeline
+from surveyloom.plans.adapters import ctes, view
+from surveyloom.sources import inventory
+
 FLAGSHIP = "welfare_ppp"
+#: Versions of the PPP adapter; naming them saves the job that finds them.
+VERSIONS = ["ppp_2011_01_01", "ppp_2011_02_01", "ppp_2017_01_02"]
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, places: int = 4) -> DataFrame:
+    """Doubles rounded: their sums depend on the order of rows."""
+    return df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def sql_rounded(columns: dict[str, str] | list[str], source: str, places: int = 4) -> str:
+    doubles = {*[c for c, t in CLEAN_TYPES.items() if t == "double"], "welfare_lcu", "pop_fact", "pop", "wght", "diff_year", "year"}
+    real = lambda c: c in doubles or c.startswith(("cpi2", "ppp_2", "welfare_ppp_"))
+    return "SELECT " + ", ".join(f"round({c}, {places}) AS {c}" if real(c) else c for c in columns) + f" FROM {source}"
+
+
+def micro(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "md")
+
+
+def pfw(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "pfw")
+
+
+def micro_framework(spark: SparkSession, d: str) -> DataFrame:
+    return framework.survey_framework(micro(spark, d), pfw(spark, d), validate=False)
+
+
+def micro_rows(spark: SparkSession, d: str) -> DataFrame:
+    return split.split_alt_welfare(micro(spark, d), micro_framework(spark, d))
+
+
+def group_rows(spark: SparkSession, d: str) -> DataFrame:
+    gd = view(spark, d, "gd").drop("bin")
+    return split.with_framework(gd, framework.survey_framework(gd, pfw(spark, d), alternatives=False, validate=False))
+
+
+# ---- DuckDB building blocks ----
+
+_LEVEL = """CASE WHEN cpi_domain IS NOT NULL AND ppp_domain IS NOT NULL AND gdp_domain IS NOT NULL AND pce_domain IS NOT NULL AND pop_domain IS NOT NULL
+  THEN CAST(greatest(cpi_domain, ppp_domain, gdp_domain, pce_domain, pop_domain) AS VARCHAR) END"""
+_WT = "CASE welfare_type WHEN 'income' THEN 'INC' WHEN 'consumption' THEN 'CON' ELSE '' END"
+_ALT_TYPE = "CASE WHEN regexp_matches(oth_welfare1_type, '^[Cc]') THEN 'consumption' WHEN regexp_matches(oth_welfare1_type, '^[Ii]') THEN 'income' ELSE '' END"
+
+
+def sql_framework(data: str, alternatives: bool = True) -> str:
+    """CTEs used, both_rows and fw (the framework of the surveys in ``data``)."""
+    alt = f" UNION ALL SELECT * EXCLUDE (welfare_type), {_ALT_TYPE} AS welfare_type, true AS is_alt FROM used WHERE oth_welfare1_type <> ''" if alternatives else ""
+    return f""", used AS (
+  SELECT p.*, k.module, {_LEVEL} AS level FROM pfw p JOIN (SELECT DISTINCT country_code, surveyid_year, survey_acronym, module FROM {data}) k USING (country_code, surveyid_year, survey_acronym)
+  WHERE inpovcal = 1
+), both_rows AS (SELECT * EXCLUDE (welfare_type), welfare_type, false AS is_alt FROM used{alt}),
+fw AS (SELECT *, {_WT} AS wt, country_code || '_' || CAST(CAST(surveyid_year AS BIGINT) AS VARCHAR) || '_' || survey_acronym || '_D' || coalesce(level, 'NA') || '_' || {_WT} || '_' || module AS cache_id FROM both_rows)"""
+
+
+#: Microdata rows of both measures with framework columns.
+_SPLIT = """, rows AS (
+  SELECT fw.cache_id, m.country_code, m.surveyid_year, m.survey_acronym, m.hhid, m.pid, CASE WHEN fw.is_alt THEN m.alt_welfare ELSE m.welfare END AS welfare, m.alt_welfare,
+    m.weight_p, m.urban, m.male, m.educat4, m.educat5, m.literacy, fw.wt AS welfare_type, fw.survey_year, fw.use_imputed, fw.cpi_domain, fw.ppp_domain, fw.gdp_domain, fw.pce_domain, fw.pop_domain
+  FROM md m JOIN fw ON m.country_code = fw.country_code AND m.surveyid_year = fw.surveyid_year AND m.survey_acronym = fw.survey_acronym
+)"""
+
+
+def _level(domain: str) -> str:
+    return f"CASE {domain}_domain WHEN 1 THEN 'national' WHEN 2 THEN CASE urban WHEN 1 THEN 'urban' WHEN 0 THEN 'rural' END END AS {domain}_data_level"
+
+
+_CLEAN = f""", clean AS (
+  SELECT cache_id, country_code, surveyid_year, survey_acronym, survey_year, hhid, pid, welfare / 365 AS welfare, weight_p AS weight, CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS VARCHAR) AS area,
+    welfare_type, CASE WHEN use_imputed = 1 THEN 'imputed' ELSE 'micro' END AS distribution_type, {_level("cpi")}, {_level("ppp")}, {_level("pop")}, {_level("gdp")}, {_level("pce")},
+    CAST(NULL AS VARCHAR) AS gd_type, alt_welfare, CAST(NULL AS VARCHAR) AS imputation_id
+  FROM rows
+)"""
+SQL_MICRO = ctes("pfw", "md") + sql_framework("md") + _SPLIT + _CLEAN
+
+
+def _group_level(domain: str) -> str:
+    return f"CASE {domain}_domain WHEN 1 THEN 'national' WHEN 2 THEN area ELSE '' END AS {domain}_data_level"
+
+
+SQL_GROUP = ctes("pfw", "gd") + sql_framework("gd", alternatives=False) + f""", grouped AS (
+  SELECT fw.cache_id, g.country_code, g.surveyid_year, g.survey_acronym, fw.survey_year, g.welfare, g.weight, CASE WHEN urban = 1 THEN 'urban' WHEN urban = 0 THEN 'rural' WHEN urban IS NULL THEN 'national' ELSE '' END AS area,
+    g.welfare_type, g.gd_type, fw.cpi_domain, fw.ppp_domain, fw.gdp_domain, fw.pce_domain, fw.pop_domain
+  FROM gd g JOIN fw ON g.country_code = fw.country_code AND g.surveyid_year = fw.surveyid_year AND g.survey_acronym = fw.survey_acronym
+), areas AS (SELECT cache_id, count(DISTINCT area) AS n_areas FROM grouped GROUP BY cache_id),
+clean AS (
+  SELECT cache_id, country_code, surveyid_year, survey_acronym, survey_year, CAST(NULL AS VARCHAR) AS hhid, CAST(NULL AS VARCHAR) AS pid, welfare, weight, CAST(NULL AS VARCHAR) AS gender, area, welfare_type,
+    CASE pop_domain WHEN 1 THEN 'group' WHEN 2 THEN CASE WHEN n_areas <= 1 THEN 'group' ELSE 'aggregate' END ELSE '' END AS distribution_type,
+    {_group_level("cpi")}, {_group_level("ppp")}, {_group_level("pop")}, {_group_level("gdp")}, {_group_level("pce")}, gd_type, CAST(NULL AS DOUBLE) AS alt_welfare, CAST(NULL AS VARCHAR) AS imputation_id
+  FROM grouped JOIN areas USING (cache_id)
+)"""
+_LORENZ = """, valid AS (
+  SELECT * REPLACE (
+    CASE WHEN code = 1 THEN weight / max(weight) OVER (PARTITION BY cache_id, area) ELSE sum(weight) OVER run / sum(weight) OVER (PARTITION BY cache_id, area) END AS weight,
+    CASE WHEN code = 1 THEN welfare / max(welfare) OVER (PARTITION BY cache_id, area)
+      ELSE sum(CASE WHEN code = 5 THEN weight * welfare ELSE welfare END) OVER run / sum(CASE WHEN code = 5 THEN weight * welfare ELSE welfare END) OVER (PARTITION BY cache_id, area) END AS welfare)
+  FROM (SELECT *, CAST(regexp_replace(gd_type, '^T0', '') AS INTEGER) AS code FROM clean WHERE area IS NOT NULL)
+  WINDOW run AS (PARTITION BY cache_id, area ORDER BY welfare, weight ROWS UNBOUNDED PRECEDING)
+)"""
+_VALID = ", valid AS (SELECT * FROM clean WHERE welfare >= 0 AND weight > 0)"
+_RANKS = """, firsts AS (
+  SELECT cache_id, level, value, min(rn) AS rn FROM (
+    SELECT *, row_number() OVER (PARTITION BY cache_id ORDER BY country_code NULLS FIRST, surveyid_year NULLS FIRST, welfare NULLS FIRST, hhid NULLS FIRST, pid NULLS FIRST) AS rn FROM {source}
+  ) UNPIVOT INCLUDE NULLS (value FOR level IN (cpi_data_level, ppp_data_level, pop_data_level, gdp_data_level, pce_data_level))
+  GROUP BY cache_id, level, value
+), ranks AS (
+  SELECT cache_id, level, CASE WHEN vals = ['national'] THEN 1 WHEN vals = ['rural', 'urban'] THEN 2 ELSE 3 END AS rank
+  FROM (SELECT cache_id, level, list(coalesce(value, '?') ORDER BY rn) AS vals FROM firsts GROUP BY cache_id, level)
+), chosen AS (
+  SELECT cache_id, arg_min(level, (3 - rank) * 10 + list_position(['cpi_data_level', 'ppp_data_level', 'pop_data_level', 'gdp_data_level', 'pce_data_level'], level)) AS level FROM ranks GROUP BY cache_id
+), levelled AS (
+  SELECT s.*, CASE c.level WHEN 'cpi_data_level' THEN cpi_data_level WHEN 'ppp_data_level' THEN ppp_data_level WHEN 'pop_data_level' THEN pop_data_level WHEN 'gdp_data_level' THEN gdp_data_level ELSE pce_data_level END AS reporting_level
+  FROM {source} s JOIN chosen c USING (cache_id)
+)"""
+_WIDE = """, wide AS (
+  SELECT country_code AS k1, ppp_data_level AS k2,
+    max(CASE WHEN ppp_year = 2011 AND release_version = 'v1' THEN ppp END) AS ppp_2011_01_01, max(CASE WHEN ppp_year = 2011 AND release_version = 'v2' THEN ppp END) AS ppp_2011_02_01,
+    max(CASE WHEN ppp_year = 2017 THEN ppp END) AS ppp_2017_01_02
+  FROM ppp GROUP BY ALL
+)"""
+_PRICED = """, priced AS (
+  SELECT s.*, wide.* EXCLUDE (k1, k2), c.cpi2005_SM21 AS cpi2005, c.cpi2011, c.cpi2017, s.welfare AS welfare_lcu,
+    s.welfare / (wide.ppp_2011_01_01 * c.cpi2011) AS welfare_ppp_2011_01_01, s.welfare / (wide.ppp_2011_02_01 * c.cpi2011) AS welfare_ppp_2011_02_01, s.welfare / (wide.ppp_2017_01_02 * c.cpi2017) AS welfare_ppp_2017_01_02
+  FROM {source} s LEFT JOIN wide ON s.country_code IS NOT DISTINCT FROM k1 AND s.ppp_data_level IS NOT DISTINCT FROM k2
+  LEFT JOIN cpi c ON s.country_code IS NOT DISTINCT FROM c.country_code AND s.survey_year IS NOT DISTINCT FROM c.survey_year AND s.survey_acronym IS NOT DISTINCT FROM c.survey_acronym AND s.cpi_data_level IS NOT DISTINCT FROM c.cpi_data_level
+)"""
+_POPULATION = """, adjusted AS (
+  SELECT cache_id FROM levelled GROUP BY cache_id HAVING count(DISTINCT coalesce(reporting_level, '?')) > 1 AND count(*) FILTER (distribution_type IN ('group', 'aggregate')) = 0
+), totals AS (
+  SELECT cache_id, country_code, survey_year, reporting_level, coalesce(sum(weight), 0) AS weight FROM levelled {where} GROUP BY ALL
+), near AS (
+  SELECT *, CASE WHEN diff_year = 0 THEN 1.0 ELSE 1 / diff_year END AS wght FROM (
+    SELECT t.*, p.year, p.pop, abs(p.year - t.survey_year) AS diff_year FROM totals t JOIN pop p ON t.country_code = p.country_code AND t.reporting_level = p.pop_data_level)
+  QUALIFY diff_year = min(diff_year) OVER (PARTITION BY cache_id, reporting_level)
+), factors AS (
+  SELECT cache_id, reporting_level, sum(pop * wght) / sum(wght) / (sum(weight * wght) / sum(wght)) AS pop_fact FROM near GROUP BY ALL
+)"""
+_PRICE_VIEWS = ctes("pfw", "md", "ppp", "cpi", "pop")
+SQL_PRICES = _PRICE_VIEWS + sql_framework("md") + _SPLIT + _CLEAN
+PRICE_COLUMNS = ["welfare_lcu", *VERSIONS, "cpi2005", "cpi2011", "cpi2017", *[f"welfare_{v}" for v in VERSIONS]]
+
+
+# ---- profile ----
+
+_MD = ["country_code", "surveyid_year", "survey_acronym", "module", "hhid", "pid", "welfare", "alt_welfare", "weight_p", "urban", "male", "educat4", "educat5", "literacy"]
+
+
+@query(
+    "uniq_vars",
+    ctes("md") + " " + " UNION ALL ".join(f"SELECT '{c}' AS variable, count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 END), 0) AS n_values, count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 END), 0) = 1 AS is_single FROM md" for c in _MD),
+)
+def uniq_vars(spark, d):
+    df = micro(spark, d).select(*_MD)
+    flags = profile.single_valued_flags(df).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, _MD)), F.array(*_MD))).alias("variable", "is_single"))
+    counts = df.agg(*[count_distinct_na(c).cast("long").alias(c) for c in _MD]).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, _MD)), F.array(*_MD))).alias("variable", "n_values"))
+    return flags.join(counts, "variable")
+
+
+_SINGLE_VIEW = "SELECT gdp_domain, n_rows, inpovcal, country_code FROM (SELECT *, 25 AS n_rows FROM pfw)"
+
+
+def _profiled(spark, d):
+    return pfw(spark, d).select("gdp_domain", F.lit(25).alias("n_rows"), "inpovcal", "country_code")
+
+
+@query("uniq_vars_to_list", ctes("pfw") + " SELECT 'gdp_domain' AS variable, CAST(min(gdp_domain) AS VARCHAR) AS value FROM pfw HAVING count(DISTINCT gdp_domain) = 1 UNION ALL SELECT 'n_rows', '25'")
+def uniq_vars_to_list(spark, d):
+    values = profile.uniq_vars_to_list(_profiled(spark, d))
+    return spark.createDataFrame([(k, str(v)) for k, v in values.items()], "variable string, value string")
+
+
+@query("uniq_vars_to_attr", ctes("pfw") + " SELECT inpovcal, country_code FROM pfw")
+def uniq_vars_to_attr(spark, d):
+    return profile.uniq_vars_to_attr(_profiled(spark, d))[0]
+
+
+# ---- framework ----
+
+
+@query("framework_unique_key", ctes("pfw") + " SELECT surveyid_year, survey_acronym, count(*) AS n FROM pfw GROUP BY ALL HAVING count(*) > 1")
+def framework_unique_key(spark, d):
+    # the whole key is unique; a part of it isn't
+    if checks.repeated_keys(pfw(spark, d), SURVEY_KEY).first() is not None:
+        raise checks.SurveyError("the framework's key repeats")
+    return checks.repeated_keys(pfw(spark, d), ["surveyid_year", "survey_acronym"])
+
+
+@query("framework_reporting_level", ctes("pfw") + f" SELECT country_code, surveyid_year, survey_acronym, {_LEVEL} AS reporting_level FROM pfw WHERE inpovcal = 1")
+def framework_reporting_level(spark, d):
+    return framework.reporting_level(pfw(spark, d)).select(*SURVEY_KEY, "reporting_level")
+
+
+@query(
+    "framework_alt_rows",
+    ctes("pfw") + f" SELECT country_code, welfare_type, oth_welfare1_type, false AS is_alt_welf FROM pfw UNION ALL SELECT country_code, {_ALT_TYPE}, NULL, true FROM pfw WHERE oth_welfare1_type <> ''",
+)
+def framework_alt_rows(spark, d):
+    return framework.with_alternatives(pfw(spark, d)).select("country_code", "welfare_type", "oth_welfare1_type", "is_alt_welf")
+
+
+@query("framework_cache_id", ctes("pfw", "md") + sql_framework("md") + " SELECT country_code, is_alt AS is_alt_welf, wt, cache_id FROM fw")
+def framework_cache_id(spark, d):
+    return micro_framework(spark, d).select("country_code", "is_alt_welf", "wt", "cache_id")
+
+
+@query("split_alt_welfare", ctes("pfw", "md") + sql_framework("md") + _SPLIT + " SELECT cache_id, hhid, pid, round(welfare, 4) AS welfare, welfare_type FROM rows")
+def split_alt_welfare(spark, d):
+    return rounded(micro_rows(spark, d).select("cache_id", "hhid", "pid", "welfare", "welfare_type"))
+
+
+# ---- cleaning ----
+
+
+def _weights(spark, d, name):
+    df = micro(spark, d).withColumn("cache_id", F.col("country_code"))
+    df = df.drop("weight_p") if name is None else df.withColumnRenamed("weight_p", name)
+    return rounded(clean.with_weight(df).select("cache_id", "hhid", "pid", "welfare", "weight"), 10)
+
+
+for _name, _column in (("weight_fallback_p", "weight_p"), ("weight_fallback_h", "weight_h")):
+    query(_name, ctes("md") + " SELECT country_code AS cache_id, hhid, pid, welfare, weight_p AS weight FROM md")(partial(_weights, name=_column))
+query("weight_equal", ctes("md") + " SELECT country_code AS cache_id, hhid, pid, welfare, round(1.0::DOUBLE / count(*) OVER (PARTITION BY country_code), 10) AS weight FROM md")(partial(_weights, name=None))
+
+
+@query("welfare_daily", ctes("pfw", "md") + sql_framework("md") + _SPLIT + _CLEAN + " SELECT cache_id, hhid, pid, round(welfare, 4) AS welfare FROM clean")
+def welfare_daily(spark, d):
+    return rounded(clean.clean_micro(micro_rows(spark, d)).select("cache_id", "hhid", "pid", "welfare"))
+
+
+def _recoded(spark, d, column):
+    return micro(spark, d).select("hhid", "pid", "welfare", clean.recode(column, clean.RECODES[column]).alias(column))
+
+
+for _column, _labels in clean.RECODES.items():
+    _cases = " ".join(f"WHEN {k} THEN '{v}'" for k, v in _labels.items())
+    query(f"recode_{_column}", ctes("md") + f" SELECT hhid, pid, welfare, CASE {_column} {_cases} END AS {_column} FROM md")(partial(_recoded, column=_column))
+
+
+@query("fill_missing_typed", SQL_MICRO + " SELECT cache_id, gender, area, gd_type, imputation_id, count(*) AS n FROM clean GROUP BY ALL")
+def fill_missing_typed(spark, d):
+    return clean.clean_micro(micro_rows(spark, d)).groupBy("cache_id", "gender", "area", "gd_type", "imputation_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+_LEVELS = ", ".join(DATA_LEVELS)
+
+
+@query("data_levels_micro", SQL_MICRO + f" SELECT cache_id, {_LEVELS}, count(*) AS n FROM clean GROUP BY ALL")
+def data_levels_micro(spark, d):
+    return clean.clean_micro(micro_rows(spark, d)).groupBy("cache_id", *DATA_LEVELS).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("data_levels_group", SQL_GROUP + f" SELECT cache_id, {_LEVELS}, count(*) AS n FROM clean GROUP BY ALL")
+def data_levels_group(spark, d):
+    return clean.clean_group(group_rows(spark, d)).groupBy("cache_id", *DATA_LEVELS).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("distribution_type_micro", SQL_MICRO + " SELECT cache_id, distribution_type, count(*) AS n FROM clean GROUP BY ALL")
+def distribution_type_micro(spark, d):
+    return clean.clean_micro(micro_rows(spark, d)).groupBy("cache_id", "distribution_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("distribution_type_group", SQL_GROUP + " SELECT cache_id, distribution_type, count(*) AS n FROM clean GROUP BY ALL")
+def distribution_type_group(spark, d):
+    return clean.clean_group(group_rows(spark, d)).groupBy("cache_id", "distribution_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("group_area", ctes("gd") + " SELECT country_code, bin, CASE WHEN urban = 1 THEN 'urban' WHEN urban = 0 THEN 'rural' WHEN urban IS NULL THEN 'national' ELSE '' END AS area FROM gd")
+def group_area(spark, d):
+    return view(spark, d, "gd").select("country_code", "bin", clean.group_area(F.col("urban")).alias("area"))
+
+
+_OUT = ["cache_id", *CLEAN_COLUMNS]
+
+
+@query("clean_micro", SQL_MICRO + " " + sql_rounded(_OUT, "clean"))
+def clean_micro(spark, d):
+    return rounded(clean.clean(micro_rows(spark, d), "micro"))
+
+
+@query("clean_group", SQL_GROUP + " " + sql_rounded(_OUT, "clean"))
+def clean_group(spark, d):
+    return rounded(clean.clean(group_rows(spark, d), "group"))
+
+
+# ---- validity ----
+
+
+@query("validity_micro", SQL_MICRO + _VALID + " " + sql_rounded(_OUT, "valid"))
+def validity_micro(spark, d):
+    return rounded(validity.validity_clean(clean.clean_micro(micro_rows(spark, d)), "micro"))
+
+
+@query("validity_group", SQL_GROUP + _LORENZ + " " + sql_rounded(_OUT, "valid", 8))
+def validity_group(spark, d):
+    return rounded(validity.validity_clean(clean.clean_group(group_rows(spark, d)), "group"), 8)
+
+
+@query("gd_type_code", ctes("gd") + " SELECT gd_type, CAST(regexp_replace(gd_type, '^T0', '') AS INTEGER) AS code, count(*) AS n FROM gd GROUP BY ALL")
+def gd_type_code(spark, d):
+    return view(spark, d, "gd").groupBy("gd_type").agg(F.count(F.lit(1)).alias("n")).withColumn("code", validity.gd_type_code(F.col("gd_type")))
+
+
+# ---- prices ----
+
+
+@query("ppp_to_wide", ctes("ppp") + _WIDE + " " + sql_rounded(["country_code", "ppp_data_level", *VERSIONS], "(SELECT k1 AS country_code, k2 AS ppp_data_level, * FROM wide)"))
+def ppp_to_wide(spark, d):
+    return rounded(enrich.ppp_to_wide(view(spark, d, "ppp")))
+
+
+@query("base_years", "SELECT y AS base_year FROM (VALUES ('2005'), ('2011'), ('2017')) AS c(y) INTERSECT SELECT CAST(y AS VARCHAR) FROM (VALUES (2011), (2017)) AS p(y)")
+def base_years(spark, d):
+    import warnings
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        found = enrich.base_years(enrich.price_columns(view(spark, d, "cpi")).columns, enrich.ppp_to_wide(view(spark, d, "ppp")).columns)
+    return spark.createDataFrame([(y,) for y in found], "base_year string")
+
+
+@query("level_rank", SQL_MICRO + _RANKS.format(source="clean") + " SELECT cache_id, level, rank FROM ranks")
+def level_rank(spark, d):
+    ranks = enrich.level_ranks(clean.clean_micro(micro_rows(spark, d)), "micro")
+    return ranks.select("cache_id", F.explode(F.map_from_arrays(F.array(*map(F.lit, DATA_LEVELS)), F.array(*DATA_LEVELS))).alias("level", "rank"))
+
+
+@query("reporting_level", SQL_MICRO + _RANKS.format(source="clean") + " SELECT cache_id, reporting_level, count(*) AS n FROM levelled GROUP BY ALL")
+def reporting_level(spark, d):
+    return enrich.with_reporting_level(clean.clean_micro(micro_rows(spark, d)), "micro").groupBy("cache_id", "reporting_level").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _priced(spark, d):
+    import warnings
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return enrich.with_prices(clean.clean_micro(micro_rows(spark, d)), view(spark, d, "cpi"), view(spark, d, "ppp"), VERSIONS)
+
+
+_ID = ["cache_id", "hhid", "pid"]
+
+
+@query("join_ppp", SQL_PRICES + _WIDE + _PRICED.format(source="clean") + " " + sql_rounded([*_ID, *VERSIONS], "priced"))
+def join_ppp(spark, d):
+    return rounded(_priced(spark, d).select(*_ID, *VERSIONS))
+
+
+@query("join_cpi", SQL_PRICES + _WIDE + _PRICED.format(source="clean") + " " + sql_rounded([*_ID, "cpi2005", "cpi2011", "cpi2017"], "priced"))
+def join_cpi(spark, d):
+    return rounded(_priced(spark, d).select(*_ID, "cpi2005", "cpi2011", "cpi2017"))
+
+
+@query("welfare_ppp", SQL_PRICES + _WIDE + _PRICED.format(source="clean") + " " + sql_rounded([*_ID, "welfare_lcu", *[f"welfare_{v}" for v in VERSIONS]], "priced"))
+def welfare_ppp(spark, d):
+    return rounded(_priced(spark, d).select(*_ID, "welfare_lcu", *[f"welfare_{v}" for v in VERSIONS]))
+
+
+# ---- population ----
+
+SQL_LEVELLED = SQL_PRICES + _VALID + _RANKS.format(source="valid")
+
+
+def _levelled(spark, d):
+    return enrich.with_reporting_level(validity.valid_micro(clean.clean_micro(micro_rows(spark, d))), "micro")
+
+
+@query("survey_totals", SQL_LEVELLED + _POPULATION.format(where="") + " SELECT cache_id, country_code, survey_year, reporting_level, round(weight, 4) AS weight FROM totals")
+def survey_totals(spark, d):
+    return rounded(population.survey_totals(_levelled(spark, d)))
+
+
+@query("nearest_year_pop", SQL_LEVELLED + _POPULATION.format(where="") + " " + sql_rounded(["cache_id", "country_code", "survey_year", "reporting_level", "weight", "year", "pop", "diff_year", "wght"], "near", 3))
+def nearest_year_pop(spark, d):
+    return rounded(population.nearest_year_pop(view(spark, d, "pop"), population.survey_totals(_levelled(spark, d))), 3)
+
+
+@query("pop_factor", SQL_LEVELLED + _POPULATION.format(where="") + " " + sql_rounded(["cache_id", "reporting_level", "pop_fact"], "factors", 3))
+def pop_factor(spark, d):
+    return rounded(population.pop_factor(view(spark, d, "pop"), population.survey_totals(_levelled(spark, d))), 3)
+
+
+_ADJUSTED = """, scaled AS (
+  SELECT l.* REPLACE (CASE WHEN a.cache_id IS NULL THEN weight ELSE weight * pop_fact END AS weight), f.pop_fact
+  FROM {source} l LEFT JOIN adjusted a USING (cache_id) LEFT JOIN factors f ON l.cache_id = f.cache_id AND l.reporting_level IS NOT DISTINCT FROM f.reporting_level
+)"""
+_WHERE = "WHERE cache_id IN (SELECT cache_id FROM adjusted)"
+
+
+@query("adjust_population", SQL_LEVELLED + _POPULATION.format(where=_WHERE) + _ADJUSTED.format(source="levelled") + " " + sql_rounded([*_ID, "reporting_level", "weight", "pop_fact"], "scaled", 3))
+def adjust_population(spark, d):
+    return rounded(population.adjust_population(_levelled(spark, d), view(spark, d, "pop")).select(*_ID, "reporting_level", "weight", "pop_fact"), 3)
+
+
+# ---- inventory ----
+
+
+def _inventory(spark, d):
+    raw = view(spark, d, "inv")
+    return inventory.clean_inventory(raw.toDF(*[c.lower() for c in raw.columns]), "/share/")
+
+
+@query(
+    "inventory_clean",
+    ctes("inv") + r""", n AS (SELECT replace(fullname, '\', '/') AS p, try_strptime(creationtime, '%m/%d/%Y %I:%M:%S %p') AS c, try_strptime(lastwritetime, '%m/%d/%Y %I:%M:%S %p') AS w, segment AS segment FROM inv),
+  s AS (SELECT CASE WHEN starts_with(p, '/share/') THEN substr(p, 8) ELSE p END AS fullname, c, w, segment, regexp_replace(string_split(p, '/')[-1], '\.[^.]*$', '') AS survey_id FROM n),
+  x AS (SELECT *, string_split(survey_id, '_') AS k FROM s)
+  SELECT fullname, strftime(c, '%Y-%m-%d %H:%M:%S') AS creationtime, strftime(w, '%Y-%m-%d %H:%M:%S') AS lastwritetime, segment, survey_id, k[1] AS country_code, k[2] AS surveyid_year, k[3] AS survey_acronym, k[4] AS vermast, k[6] AS veralt, k[9] AS module
+  FROM x WHERE c IS NOT NULL AND k[9] IN ('GPWG', 'ALL', 'BIN', 'GROUP', 'HIST')""",
+)
+def inventory_clean(spark, d):
+    df = _inventory(spark, d)
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return df.select("fullname", stamp("creationtime"), stamp("lastwritetime"), "segment", "survey_id", "country_code", "surveyid_year", "survey_acronym", "vermast", "veralt", "module")
+
+
+@query("inventory_digest")
+def inventory_digest(spark, d):
+    return spark.createDataFrame([(inventory.digest(_inventory(spark, d)),)], "digest string")
+
+
+# ---- pipelines ----
+
+SQL_PROCESS = ctes("pfw", "md") + sql_framework("md", alternatives=False) + _SPLIT.replace("fw.wt AS welfare_type", "fw.welfare_type") + _CLEAN + _VALID
+
+
+@query("process_data_micro", SQL_PROCESS + " " + sql_rounded(_OUT, "valid"))
+def process_data_micro(spark, d):
+    return rounded(pipeline.process_data(micro(spark, d), pfw(spark, d), "micro", validate=False))
+
+
+@query("process_data_group", SQL_GROUP + _LORENZ + " " + sql_rounded(_OUT, "valid", 8))
+def process_data_group(spark, d):
+    return rounded(pipeline.process_data(view(spark, d, "gd").drop("bin"), pfw(spark, d), "group", validate=False), 8)
+
+
+@query(
+    "pipeline_full",
+    SQL_LEVELLED + _WIDE + _PRICED.format(source="levelled") + _POPULATION.format(where=_WHERE) + _ADJUSTED.format(source="priced")
+    + " " + sql_rounded([*_OUT, "reporting_level", *PRICE_COLUMNS, "pop_fact"], "scaled", 4),
+)
+def pipeline_full(spark, d):
+    import warnings
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        df = pipeline.full_chain(micro(spark, d), pfw(spark, d), view(spark, d, "cpi"), view(spark, d, "ppp"), view(spark, d, "pop"), "micro", VERSIONS, validate=False)
+    return rounded(df, 4)
