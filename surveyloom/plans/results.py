@@ -21,7 +21,7 @@ class StageResult:
 def captured(stage: Callable[..., DataFrame], *args, **kwargs) -> StageResult:
     """Run a stage that may fail; warnings count as failures. Rows are computed once, so that errors in data show here."""
     with warnings.catch_warnings():
-        warnings.simplefilter("error")
+        warnings.simplefilter("error", UserWarning)
         try:
             frame = stage(*args, **kwargs)
             frame.write.format("noop").mode("overwrite").save()
