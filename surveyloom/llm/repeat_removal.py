@@ -46,12 +46,14 @@ from surveyloom.llm.blocks import mix, portions, ranges, runs, texts
 from surveyloom.llm.ngram_join import LETTER, TOKEN_BITS, from_six, powers, six
 from surveyloom.llm.tables import table, written
 
-LENGTH, SEED = 100, 32
+LENGTH, SEED = 100, 48
 LEFT = LENGTH - SEED
 #: Bytes of text handled at once; of text sent at once; bytes of text and of surroundings for each partition.
-PORTION, WINDOW, TEXT_A_PARTITION, SENT_A_PARTITION = 1 << 21, 1 << 25, 1 << 24, 1 << 25
+PORTION, WINDOW, TEXT_A_PARTITION, SENT_A_PARTITION = 1 << 20, 1 << 24, 1 << 24, 1 << 23
 #: Bits of the filter that keeps texts without work from being moved: 8 MB, whatever the size of the corpus.
 FILTER_BITS = 1 << 26
+#: Spans gathered before they are united.
+SPANS_HELD = 1 << 18
 
 ANCHORS = "part int, base long, docs binary, counts binary, hashes binary, places binary"
 SENT = "part int, rows binary, bytes binary"
@@ -148,15 +150,16 @@ def anchor_blocks(docs: DataFrame, parts: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(blocks, ANCHORS)
 
 
-FOUND = "kind int, part int, rows binary, uid long, doc_id long, n long, sha string"
+FOUND = "kind int, part int, docs binary, counts binary, places binary, uid long, doc_id long, n long, sha string"
 
 
 def repeated_anchors(key: tuple, group: pd.DataFrame, parts: int) -> pd.DataFrame:
     """One part's blocks -> places of seeds found at least twice, by the part of their document; documents pass as rows."""
+    names = [x.split()[0] for x in FOUND.split(", ")]
     if int(key[0]) < 0:
         rows = [x for cell in group["docs"] for x in json.loads(cell)]
         out = pd.DataFrame(rows, columns=["uid", "doc_id", "n", "sha"]).astype({"doc_id": "Int64"})
-        return out.assign(kind=0, part=0, rows=b"")[["kind", "part", "rows", "uid", "doc_id", "n", "sha"]]
+        return out.assign(kind=0, part=0, docs=b"", counts=b"", places=b"")[names]
     tokens = np.concatenate([from_six(x) for x in group["hashes"]])
     uids = np.concatenate([np.repeat(np.int64(b) + np.frombuffer(d, "<i4"), np.frombuffer(c, "<u4")) for b, d, c in zip(group["base"], group["docs"], group["counts"], strict=True)])
     places = np.frombuffer(b"".join(group["places"]), "<i4")
@@ -164,19 +167,25 @@ def repeated_anchors(key: tuple, group: pd.DataFrame, parts: int) -> pd.DataFram
     starts, lengths = runs(tokens[order])
     often = lengths > 1
     kept = order[ranges(starts[often], lengths[often])]
-    found = np.zeros(len(kept), SPAN)
-    found["uid"], found["start"] = uids[kept], places[kept]
-    to = owner_of(found["uid"], parts)
-    rows = [(1, int(q), found[to == q].tobytes(), None, None, None, None) for q in np.unique(to)]
-    return pd.DataFrame(rows, columns=["kind", "part", "rows", "uid", "doc_id", "n", "sha"]).astype({c: "Int64" for c in ("uid", "doc_id", "n")})
+    uids, places = uids[kept], places[kept]
+    order = np.lexsort((places, uids))
+    uids, places = uids[order], places[order]
+    s, c = runs(uids)
+    to = owner_of(uids[s], parts)
+    rows = []
+    for q in np.unique(to):
+        own = to == q
+        rows.append((1, int(q), uids[s[own]].tobytes(), c[own].astype("<u4").tobytes(), places[ranges(s[own], c[own])].tobytes(), None, None, None, None))
+    return pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in ("uid", "doc_id", "n")})
 
 
 def places_of_docs(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    found = np.frombuffer(b"".join(group["rows"]), SPAN)
-    found = found[np.lexsort((found["start"], found["uid"]))]
-    s, c = runs(found["uid"])
-    places = found["start"].astype("<i4")
-    return pd.DataFrame({"uid": found["uid"][s], "places": [places[a : a + n].tobytes() for a, n in zip(s, c, strict=True)], "n_places": c})
+    uids = np.repeat(np.frombuffer(b"".join(group["docs"]), "<i8"), np.frombuffer(b"".join(group["counts"]), "<u4"))
+    places = np.frombuffer(b"".join(group["places"]), "<i4")
+    order = np.lexsort((places, uids))
+    uids, places = uids[order], places[order]
+    s, c = runs(uids)
+    return pd.DataFrame({"uid": uids[s], "places": [places[a : a + n].tobytes() for a, n in zip(s, c, strict=True)], "n_places": c})
 
 
 def likely(rows: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
@@ -208,14 +217,33 @@ def surroundings(raw: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return around, np.minimum(places, LEFT), np.minimum(len(raw) - places, LENGTH)
 
 
-def spans_by_part(uids: np.ndarray, starts: np.ndarray, ends: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
-    spans = np.zeros(len(uids), SPAN)
-    spans["uid"], spans["start"], spans["end"] = uids, starts, ends
+def merged(spans: np.ndarray) -> np.ndarray:
+    """Spans sorted by document and start, without overlaps."""
+    spans = spans[np.lexsort((spans["start"], spans["uid"]))]
+    if not len(spans):
+        return spans
+    starts, lengths = runs(spans["uid"])
+    document = np.repeat(np.arange(len(starts), dtype=np.int64) << 32, lengths)
+    reach = np.maximum.accumulate(document + spans["end"])
+    new = np.concatenate([[True], document[1:] + spans["start"][1:] > reach[:-1]])
+    out = spans[new]
+    out["end"] = (reach & 0xFFFFFFFF)[np.append(np.flatnonzero(new)[1:] - 1, len(spans) - 1)]
+    return out
+
+
+def spans_by_part(spans: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
+    spans = merged(spans)
     to = owner_of(spans["uid"], parts)
     for q in np.unique(to):
         yield int(q), spans[to == q].tobytes()
 
 
+def span_rows(around: np.ndarray, left, right) -> np.ndarray:
+    out = np.zeros(len(around), SPAN)
+    out["uid"], out["start"], out["end"] = around["uid"], around["pos"] - left, around["pos"] + right
+    return out
+
+
 def surrounding_blocks(marked: DataFrame, parts: int, places: int) -> DataFrame:
     """Surroundings by the part that owns their seed (part >= 0), and spans that are settled already (part < 0)."""
 
@@ -231,7 +259,7 @@ def surrounding_blocks(marked: DataFrame, parts: int, places: int) -> DataFrame:
             around, data = (np.concatenate(x) for x in zip(*kept, strict=True))
             keep, covered = collapsed(around, data)
             own = around[covered]
-            for q, spans in spans_by_part(own["uid"], own["pos"] - own["left"].astype(np.int32), own["pos"] + own["right"].astype(np.int32), places):
+            for q, spans in spans_by_part(span_rows(own, own["left"].astype(np.int32), own["right"].astype(np.int32)), places):
                 yield block(-1 - q, spans, b"")
             around, data = around[keep], data[keep]
             seed = np.ascontiguousarray(data[:, LEFT : LEFT + SEED]).view("<u8")
@@ -298,13 +326,18 @@ def maximal_repeats(right: np.ndarray, left: np.ndarray, right_n: np.ndarray, le
             yield own[c : d + 1], n, r
 
 
-def covered_spans(around: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(uid, start, end) of all covered spans among the surroundings of one part."""
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+def covered_spans(around: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """All covered spans among the surroundings of one part."""
+    out = [np.zeros(0, SPAN)]
+    held = 0
 
     def cover(i: np.ndarray, left, right) -> None:
-        if len(i):
-            out.append((around["uid"][i], around["pos"][i] - left, around["pos"][i] + right))
+        nonlocal held
+        out.append(span_rows(around[i], left, right))
+        held += len(i)
+        if held > SPANS_HELD:
+            out[:] = [merged(np.concatenate(out))]
+            held = 0
 
     keep, copies = collapsed(around, data)
     cover(copies, around["left"][copies].astype(np.int32), around["right"][copies].astype(np.int32))
@@ -332,9 +365,7 @@ def covered_spans(around: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.
         for own, to_left, to_right in maximal_repeats(right[s], left[s], right_n[s], left_n[s]):
             own = own + a
             cover(own[own != own[np.argmin(rank[own])]], to_left, to_right)
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    return np.concatenate(out)
 
 
 def spans_of_part(key: tuple, group: pd.DataFrame, places: int) -> pd.DataFrame:
@@ -347,21 +378,17 @@ def spans_of_part(key: tuple, group: pd.DataFrame, places: int) -> pd.DataFrame:
     # a row that was read twice is one occurrence
     _, once = np.unique(around[["uid", "pos"]], return_index=True)
     found = covered_spans(around[once], data[once])
-    return pd.DataFrame(list(spans_by_part(*found, places)), columns=["part", "rows"])
+    return pd.DataFrame(list(spans_by_part(found, places)), columns=["part", "rows"])
 
 
 def united(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """Spans of one part's documents without overlaps."""
     spans = np.frombuffer(b"".join(group["rows"]), SPAN)
-    spans = spans[np.lexsort((spans["end"], spans["start"], spans["uid"]))]
+    spans = merged(spans)
     out = []
     for a, n in zip(*runs(spans["uid"]), strict=True):
         own = spans[a : a + n]
-        reach = np.maximum.accumulate(own["end"])
-        new = np.concatenate([[True], own["start"][1:] > reach[:-1]])
-        start = own["start"][new]
-        end = reach[np.append(np.flatnonzero(new)[1:] - 1, n - 1)]
-        out.append((int(own["uid"][0]), int((end - start).sum()), len(start), start.tolist(), end.tolist()))
+        out.append((int(own["uid"][0]), int((own["end"] - own["start"]).sum()), n, own["start"].tolist(), own["end"].tolist()))
     return pd.DataFrame(out, columns=["uid", "n_removed", "n_spans", "starts", "ends"])
 
 
@@ -374,7 +401,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     own = found.where("kind = 0").select("uid", "doc_id", "n", "sha")
     first = own.groupBy("sha").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "uid"))["uid"].alias("first"))
     own = written(own.join(first, "sha").select("uid", "doc_id", "n", "sha", (F.col("uid") == F.col("first")).alias("is_first")), "texts")
-    places = found.where("kind = 1").select("part", "rows").groupBy("part").applyInPandas(places_of_docs, "uid long, places binary, n_places long")
+    places = found.where("kind = 1").select("part", "docs", "counts", "places").groupBy("part").applyInPandas(places_of_docs, "uid long, places binary, n_places long")
     marks = written(places.join(own.where("is_first").select("uid", "doc_id", "sha"), "uid"), "marks")
     sent = (marks.agg(F.sum("n_places")).first()[0] or 0) * (LEFT + LENGTH)
     text = docs.select(F.col("doc_id").cast("long").alias("id"), "text").withColumn("text_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
