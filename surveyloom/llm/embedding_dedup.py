@@ -5,7 +5,7 @@
 2. Trees: a cell is split at the median of its projections on a random
    direction. Vectors near the split go to both sides (spill); the margin
    follows from the similarity, so linked pairs are rarely parted. A cell's
-   splits are found in one task on a sample of at most ``SAMPLE`` of its
+   splits are found in one task on a sample of about ``sample`` of its
    vectors; all vectors are then sent through them. Cells that are still too
    large are split again, round by round. A cell that no direction divides is
    tight and stays whole.
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,12 +38,26 @@ from pyspark.sql import functions as F
 from surveyloom.llm.components import components
 from surveyloom.llm.tables import table, written
 
-THRESHOLD = 0.93
-TREES, LEAF, SAMPLE, BLOCK = 8, 768, 4096, 1024
-#: Half the margin in standard deviations of a linked pair's distance along a random direction.
-MARGIN = 0.5
-#: Directions tried for a split; share of a cell that a side may hold for the split to count; least sample that is split.
-TRIES, SHRINK, LEAST_SAMPLE = 3, 0.8, 64
+
+
+class Settings(NamedTuple):
+    """Limits of the forest; they are sent to the tasks, so all parts use the same ones."""
+
+    threshold: float = 0.93
+    trees: int = 8
+    #: Vectors of a cell that isn't split, rows of a cell's sample, and vectors of a block of a tight cell.
+    leaf: int = 768
+    sample: int = 4096
+    block: int = 1024
+    #: Half the margin in standard deviations of a linked pair's distance along a random direction.
+    margin: float = 0.5
+    #: Directions tried for a split, the share of a cell that a side may hold for the split to count, the least sample that is split.
+    tries: int = 3
+    shrink: float = 0.8
+    least_sample: int = 64
+
+    def spill(self, d: int) -> float:
+        return self.margin * np.sqrt((2 - 2 * self.threshold) / d)
 
 
 def prepared(vectors: DataFrame) -> DataFrame:
@@ -80,16 +95,16 @@ def direction(seed: int, d: int) -> np.ndarray:
     return r / np.linalg.norm(r)
 
 
-def grow(x: np.ndarray, size: float, seed: int, threshold: float) -> list:
+def grow(x: np.ndarray, size: float, seed: int, use: Settings) -> list:
     """A tree over the unit vectors ``x``, a sample of a cell of ``size`` vectors.
 
     Nested lists: [seed, median, left, right] or, for a leaf, ["open"] or ["tight"].
     """
-    if size <= LEAF or len(x) < LEAST_SAMPLE:
+    if size <= use.leaf or len(x) < use.least_sample:
         return ["open"]
-    margin = MARGIN * np.sqrt((2 - 2 * threshold) / x.shape[1])
+    margin = use.spill(x.shape[1])
     best = None
-    for k in range(TRIES):
+    for k in range(use.tries):
         own = number(f"{seed}/{k}")
         p = x @ direction(own, x.shape[1])
         middle = float(np.median(p))
@@ -98,9 +113,9 @@ def grow(x: np.ndarray, size: float, seed: int, threshold: float) -> list:
         if best is None or most < best[0]:
             best = most, own, middle, left, right
     most, own, middle, left, right = best
-    if most > SHRINK:
+    if most > use.shrink:
         return ["tight"]
-    sides = [grow(x[s], size * s.mean(), number(f"{own}/{n}"), threshold) for n, s in (("left", left), ("right", right))]
+    sides = [grow(x[s], size * s.mean(), number(f"{own}/{n}"), use) for n, s in (("left", left), ("right", right))]
     return [own, middle, *sides]
 
 
@@ -116,13 +131,13 @@ def leaves(tree: list, x: np.ndarray, rows: np.ndarray, name: str, margin: float
     yield from leaves(tree[3], x, rows[p >= tree[1] - margin], name + "1", margin)
 
 
-def split_cells(inside: DataFrame, sizes: DataFrame, trees: int, threshold: float) -> DataFrame:
+def split_cells(inside: DataFrame, sizes: DataFrame, trees: int, use: Settings) -> DataFrame:
     """(rep, cell, tight): rows (rep, cell, raw) sent through ``trees`` trees of each cell; ``sizes`` has (cell, size)."""
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         x, norms = unit(rows.sort_values("rep")["raw"].tolist())
         size = float(rows["size"].iloc[0])
-        plan = [grow(x / norms[:, None], size, number(f"{key[0]}/{t}"), threshold) for t in range(trees)]
+        plan = [grow(x / norms[:, None], size, number(f"{key[0]}/{t}"), use) for t in range(trees)]
         return pd.DataFrame({"cell": [key[0]], "plan": [json.dumps(plan)]})
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +146,7 @@ def split_cells(inside: DataFrame, sizes: DataFrame, trees: int, threshold: floa
             for (cell, plan), own in rows.groupby(["cell", "plan"], sort=False):
                 x, norms = unit(own["raw"].tolist())
                 x, reps = x / norms[:, None], own["rep"].to_numpy()
-                margin = MARGIN * np.sqrt((2 - 2 * threshold) / x.shape[1])
+                margin = use.spill(x.shape[1])
                 for t, tree in enumerate(json.loads(plan)):
                     for name, tight, at in leaves(tree, x, np.arange(len(x)), f"{cell}/{t}/", margin):
                         yield pa.RecordBatch.from_arrays(
@@ -140,21 +155,21 @@ def split_cells(inside: DataFrame, sizes: DataFrame, trees: int, threshold: floa
 
     sized = inside.join(sizes, "cell")
     chance = F.pmod(F.xxhash64("rep", "cell"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # the expected sample is SAMPLE rows of a cell, whatever its size
-    sample = sized.where(chance < F.lit(float(SAMPLE)) / F.col("size"))
+    # the expected sample is ``sample`` rows of a cell, whatever its size
+    sample = sized.where(chance < F.lit(float(use.sample)) / F.col("size"))
     plans = sample.select("cell", "rep", "raw", "size").groupBy("cell").applyInPandas(fit, "cell long, plan string")
     return inside.join(written(plans, "plans"), "cell").select("rep", "cell", "raw", "plan").mapInArrow(route, "rep long, cell long, tight boolean")
 
 
-def forest(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def forest(reps: DataFrame, use: Settings = Settings()) -> DataFrame:
     """(rep, cell) of all classes in all trees; ``reps`` is a written table (rep, root, raw)."""
     count = lambda df: df.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
     first = reps.select("rep", F.col("root").alias("cell"), "raw")
-    now = written(split_cells(first, count(first), TREES, threshold), "cells")
+    now = written(split_cells(first, count(first), use.trees, use), "cells")
     done = []
     while True:
         sizes = written(now.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.max("tight").alias("tight")), "sizes")
-        large = sizes.where((F.col("size") > 2 * LEAF) & ~F.col("tight")).select("cell", "size")
+        large = sizes.where((F.col("size") > 2 * use.leaf) & ~F.col("tight")).select("cell", "size")
         if large.isEmpty():
             return_rows = now.select("rep", "cell")
             for x in done:
@@ -162,7 +177,7 @@ def forest(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             return return_rows
         done.append(now.join(large.select("cell"), "cell", "left_anti").select("rep", "cell"))
         inside = now.join(large.select("cell"), "cell", "left_semi").select("rep", "cell").join(reps.select("rep", "raw"), "rep")
-        now = written(split_cells(inside, large, 1, threshold), "cells")
+        now = written(split_cells(inside, large, 1, use), "cells")
 
 
 def links_of_block(key: tuple, rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
@@ -202,26 +217,26 @@ def links_of_block(key: tuple, rows: pd.DataFrame, threshold: float) -> pd.DataF
     return pd.DataFrame({"rep": reps, "links": links.astype(np.int64), "root": reps[label]})[links.astype(bool) | (label != np.arange(len(rows)))]
 
 
-def near_links(reps: DataFrame, cells: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def near_links(reps: DataFrame, cells: DataFrame, use: Settings = Settings()) -> DataFrame:
     """(rep, links, root) rows; a class's links are the sum of its rows'. ``cells`` is a written table."""
-    sizes = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    sizes = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(use.block)).cast("int").alias("blocks"))
     own = cells.groupBy("rep").agg(F.collect_set("cell").alias("cells")).join(reps, "rep")
     rows = cells.join(sizes, "cell").join(own, "rep")
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     # one copy of a row for each block that its own meets
     dealt = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("cell", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "raw", "copies", "cells")
-    return dealt.groupBy("cell", "low", "high").applyInPandas(lambda key, pdf: links_of_block(key, pdf, threshold), "rep long, links long, root long")
+    return dealt.groupBy("cell", "low", "high").applyInPandas(lambda key, pdf: links_of_block(key, pdf, use.threshold), "rep long, links long, root long")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def near_duplicates(vectors: DataFrame, use: Settings = Settings()) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of rows (vec_id, label, embedding)."""
     rows = written(prepared(vectors).withColumn("digest", F.md5("raw")), "vectors")
     valid = rows.where("raw IS NOT NULL")
     reps = written(
         valid.groupBy("root", "digest").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("raw").alias("raw")), "classes"
     )
-    found = written(near_links(reps, written(forest(reps, threshold), "forest"), threshold), "near")
+    found = written(near_links(reps, written(forest(reps, use), "forest"), use), "near")
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     classes = reps.join(linked, "rep", "left").join(joined.withColumnRenamed("id", "rep"), "rep", "left").select(
