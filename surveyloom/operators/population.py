@@ -39,10 +39,12 @@ def adjust_population(df: DataFrame, pop: DataFrame) -> DataFrame:
 
     A level without population gets a NULL weight.
     """
-    use = df.groupBy("cache_id").agg(
-        ((count_distinct_na("reporting_level") > 1) & ~F.coalesce(F.bool_or(F.col("distribution_type").isin("group", "aggregate")), F.lit(False))).alias("_adjust")
-    )
+    grouped = F.coalesce(F.bool_or(F.col("distribution_type").isin("group", "aggregate")), F.lit(False))
+    # one pass over the rows; all that follows works on a row per survey and level
+    levels = df.groupBy(*UNIT).agg(sum_na_rm("weight").alias("weight"), grouped.alias("_grouped"))
+    use = levels.groupBy("cache_id").agg(((count_distinct_na("reporting_level") > 1) & ~F.bool_or("_grouped")).alias("_adjust"))
     marked = df.join(use, "cache_id")
-    factors = pop_factor(pop, survey_totals(marked.where("_adjust"))).withColumnsRenamed({"cache_id": "_id", "reporting_level": "_level"})
+    totals = levels.join(use.where("_adjust"), "cache_id").select(*UNIT, "weight")
+    factors = pop_factor(pop, totals).withColumnsRenamed({"cache_id": "_id", "reporting_level": "_level"})
     both = marked.join(factors, (F.col("cache_id") == F.col("_id")) & F.col("reporting_level").eqNullSafe(F.col("_level")), "left").drop("_id", "_level")
     return both.withColumn("weight", F.when(F.col("_adjust"), F.col("weight") * F.col("pop_fact")).otherwise(F.col("weight"))).drop("_adjust")
