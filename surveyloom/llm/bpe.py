@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 from surveyloom.llm.tables import table
 
 #: Longer pieces are encoded without being remembered; the memory is emptied when full.
-CACHED_CHARS, CACHED_PIECES = 40, 500_000
-BATCH_IDS = 1 << 20
+CACHED_CHARS, CACHED_PIECES = 40, 400_000
+#: Ids that the encoder and rows that the decoder hand over at once.
+BATCH_IDS, BATCH_ROWS = 1 << 19, 1000
 
 
 def byte_letters() -> dict[str, int]:
@@ -81,16 +82,21 @@ class BytePairCodec:
             self.joined[left, right] = k
             if whole not in self.rank:
                 self.rank[whole], self.made_by[whole] = k, (left, right)
-        self.automaton = ahocorasick.Automaton()
-        for i in self.rank:
-            raw = self.bytes_of[i]
-            self.automaton.add_word(raw.decode("latin-1"), (i, len(raw)))
-        self.automaton.make_automaton()
         self.split = regex.compile(public_tokenizers.PATTERN)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.compatible = lru_cache(1 << 18)(self._compatible)
+        self.compatible = lru_cache(1 << 17)(self._compatible)
         self.pieces = Pieces(self.encode_piece)
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds the vocabulary entries that end at each place, longest first; only the encoder needs it."""
+        found = ahocorasick.Automaton()
+        for i in self.rank:
+            raw = self.bytes_of[i]
+            found.add_word(raw.decode("latin-1"), (i, len(raw)))
+        found.make_automaton()
+        return found
+
     def _compatible(self, left: int, right: int) -> bool:
         """Whether the encoding keeps ``left`` and ``right`` apart when they stand side by side."""
         before = 1 << 60  # merges of a lower rank than this have happened at the border by now
@@ -174,7 +180,7 @@ def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = codec(path)
-        for batch in batches:
+        for batch in (x.slice(k, BATCH_ROWS) for x in batches for k in range(0, x.num_rows, BATCH_ROWS)):
             flat, ends = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
             texts = [found.decode(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])

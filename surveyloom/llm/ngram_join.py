@@ -47,7 +47,7 @@ WORDS = 5
 #: Two sets link when DEN * intersection >= NUM * union.
 NUM, DEN = 75, 100
 #: Bytes of text hashed at once; shingles sent at once; bytes of text for each partition of shingles; sets in a block of a trie.
-PORTION, WINDOW, TEXT_A_PARTITION, BLOCK, ROWS_A_TASK = 1 << 21, 1 << 22, 1 << 24, 8192, 20_000
+PORTION, WINDOW, TEXT_A_PARTITION, BLOCK, ROWS_A_TASK = 1 << 20, 1 << 20, 1 << 23, 8192, 20_000
 
 #: Ids that are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
