@@ -33,6 +33,20 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) - np.repeat(ends - lengths - starts, lengths)
 
 
+def gaps(ascending: np.ndarray) -> bytes:
+    """Ascending numbers from 0 on, a byte for each step; 255 carries on to the next byte."""
+    steps = np.diff(ascending, prepend=0)
+    more = steps // 255
+    out = np.full(len(steps) + int(more.sum()), 255, np.uint8)
+    out[np.cumsum(more + 1) - 1] = steps % 255
+    return out.tobytes()
+
+
+def from_gaps(raw: bytes) -> np.ndarray:
+    steps = np.frombuffer(raw, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps != 255]
+
+
 def texts(batch_column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; a null is empty."""
     return [x or b"" for x in batch_column.cast(pa.binary()).to_pylist()]

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm.blocks import mix, portions, ranges, runs, texts
+from surveyloom.llm.blocks import from_gaps, gaps, mix, portions, ranges, runs, texts
 from surveyloom.llm.components import components
 from surveyloom.llm.tables import table, written
 
@@ -160,8 +160,8 @@ def shingle_blocks(docs: DataFrame, parts: int) -> DataFrame:
             order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
             tokens, owner, part = tokens[order], owner[order], part[order]
             for a, n in zip(*runs(part), strict=True):
-                s, c = runs(owner[a : a + n])
-                yield _block(int(part[a]), uid, owner[a : a + n][s].tobytes(), c.astype("<u4").tobytes(), six(tokens[a : a + n]))
+                # a byte for the document of each shingle, however many parts there are
+                yield _block(int(part[a]), uid, gaps(owner[a : a + n]), b"", six(tokens[a : a + n]))
 
         for batch in batches:
             raw, ids = texts(batch.column(1)), batch.column(0).to_pylist()
@@ -189,7 +189,7 @@ def frequencies(parts: int):
             return pd.DataFrame({"part": [-1 - part] * len(group), "base": 0, "docs": group["docs"], "counts": b"", "tokens": b""})
         group = group.sort_values("base")
         tokens = np.concatenate([from_six(x) for x in group["tokens"]])
-        uids = np.concatenate([np.repeat(np.int64(b) + np.frombuffer(d, "<i4"), np.frombuffer(c, "<u4")) for b, d, c in zip(group["base"], group["docs"], group["counts"], strict=True)])
+        uids = np.concatenate([b + from_gaps(d) for b, d in zip(group["base"], group["docs"], strict=True)])
         order = np.argsort(tokens, kind="stable")
         starts, lengths = runs(tokens[order])
         often = lengths > 1

@@ -301,6 +301,13 @@ def test_one_of_each_group_stays(spark):
     assert left.where("doc_id IS NULL").count() == 1 and left.columns == docs(spark, []).columns
 
 
+@pytest.mark.parametrize("numbers", [[], [0], [0, 0, 254, 255, 255, 510, 511], [70_000, 70_000, 70_765], [255], [254]])
+def test_gaps_round_trip(numbers):
+    from surveyloom.llm.blocks import from_gaps, gaps
+
+    assert from_gaps(gaps(np.array(numbers, np.int32))).tolist() == numbers
+
+
 def test_trie_against_all_pairs():
     rng = random.Random(6)
     for _ in range(60):
