@@ -250,6 +250,7 @@ def surrounding_blocks(marked: DataFrame, parts: int, places: int) -> DataFrame:
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         kept: list[tuple[np.ndarray, np.ndarray]] = []
+        seen: set[int] = set()
         held = 0
 
         def block(part: int, rows: bytes, cells: bytes) -> pa.RecordBatch:
@@ -274,6 +275,10 @@ def surrounding_blocks(marked: DataFrame, parts: int, places: int) -> DataFrame:
 
         for batch in batches:
             for uid, key, text, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+                # rows with equal ids and texts join the same mark: they are one text, not copies of each other
+                if uid in seen:
+                    continue
+                seen.add(uid)
                 where = np.frombuffer(at, "<i4").astype(np.int64)
                 data, left, right = surroundings(text, where)
                 around = np.zeros(len(where), AROUND)
@@ -284,6 +289,7 @@ def surrounding_blocks(marked: DataFrame, parts: int, places: int) -> DataFrame:
                 if held >= WINDOW:
                     yield from out()
                     kept, held = [], 0
+                    seen.clear()
         if kept:
             yield from out()
 
@@ -393,7 +399,7 @@ def united(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, sha, n, n_removed, n_spans, starts, ends): one row per document, with the spans to remove (null: none or all)."""
+    """(doc_id, sha, is_first, n, n_removed, n_spans, starts, ends): one row per document, with the spans to remove (null: none or all)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // TEXT_A_PARTITION))
     found = anchor_blocks(docs, parts).groupBy("part").applyInPandas(lambda k, g: repeated_anchors(k, g, parts), FOUND)
@@ -413,7 +419,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spans = written(spans, "spans")
     copy = ~F.col("is_first") & (F.col("n") >= LENGTH)
     return own.join(spans, "uid", "left").select(
-        "doc_id", "sha", "n",
+        "doc_id", "sha", "is_first", "n",
         F.when(copy, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"), "starts", "ends",
     )
@@ -454,14 +460,29 @@ def op4_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with all their columns and what is left of their texts; documents with nothing left go.
 
-    Bytes of a character that is removed in part go with it.
+    Of rows with equal ids and texts one stays if the text's first occurrence is among them, cut like it. Bytes of a
+    character that is removed in part go with it.
     """
-    spans = written(repeated_spans(docs).where("n_removed > 0").dropDuplicates(["doc_id", "sha"]), "repeated")
-    spans = spans.select(F.col("doc_id").alias("key"), F.col("sha").alias("key_sha"), F.when(F.col("n_removed") == F.col("n"), F.array(F.lit(0))).otherwise(F.col("starts")).alias("starts"), F.when(F.col("n_removed") == F.col("n"), F.array(F.col("n").cast("int"))).otherwise(F.col("ends")).alias("ends"))
+    found = written(repeated_spans(docs), "repeated")
+    gone = found.where("n_removed > 0")
+    # a first row without spans matters if rows equal to it go
+    copies = gone.where("NOT is_first").select(F.col("sha").alias("key"))
+    whole_first = likely(found.where((F.col("n") >= LENGTH) & F.expr("is_first AND n_removed = 0")), copies, F.col("sha"))
+    first = F.max(F.when(F.col("is_first"), F.struct("n_removed", "starts", "ends"))).alias("first")
+    spans = gone.unionByName(whole_first).groupBy("doc_id", "sha").agg(F.max("n").cast("int").alias("n"), F.count(F.lit(1)).alias("rows"), first)
+    all_gone = F.col("first").isNull() | (F.col("first.n_removed") == F.col("n"))
+    spans = spans.select(
+        F.col("doc_id").alias("key"), F.col("sha").alias("key_sha"), (~all_gone & (F.col("rows") > 1)).alias("repeated"),
+        F.when(all_gone, F.array(F.lit(0))).otherwise(F.col("first.starts")).alias("starts"), F.when(all_gone, F.array("n")).otherwise(F.col("first.ends")).alias("ends"),
+    )
+    spans = written(spans.where("repeated OR starts IS NOT NULL"), "spans-of-rows")
     sha = F.sha2(F.coalesce("text", F.lit("")), 256)
     names = docs.columns
     packed = docs.select("doc_id", F.struct(*docs.columns).alias("row"), sha.alias("text_sha"))
     both = packed.join(spans, packed["doc_id"].cast("long").eqNullSafe(spans["key"]) & (packed["text_sha"] == spans["key_sha"]), "left")
+    if not spans.where("repeated").isEmpty():
+        once = both.where("repeated").dropDuplicates(["key", "key_sha"])
+        both = both.where("repeated IS NULL OR NOT repeated").unionByName(once)
     wide = both.select("row.*", F.col("starts").alias(f"{'_'.join(names)}_starts"), F.col("ends").alias(f"{'_'.join(names)}_ends"))
     at = names.index("text")
 

@@ -248,6 +248,22 @@ def test_cut_texts_keep_whole_characters(spark):
     assert repeat_removal.cut_repeats(docs(spark, [])).columns == docs(spark, []).columns
 
 
+def test_cut_keeps_one_of_repeated_rows(spark):
+    rng = random.Random(12)
+    one, two, passage, tail = (prose(rng, 60) for _ in range(4))
+    rows = [(1, one), (1, one), (2, passage), (3, two + passage), (3, two + passage), (3, two + passage), (4, two + passage)]
+    rows += [(None, tail), (None, tail), (None, one), (5, "short"), (5, "short"), (1, tail + "!")]
+    got = sorted((r.doc_id or 0, r.text) for r in repeat_removal.cut_repeats(docs(spark, rows)).collect())
+    # the text of the null ids is found in document 1 and goes
+    assert got == sorted([(1, one), (2, passage), (3, two), (5, "short"), (5, "short"), (1, tail + "!")])
+    spans = [(r.doc_id or 0, r.n_removed) for r in repeat_removal.without_repeats(docs(spark, rows)).collect()]
+    n = {t: len(t.encode()) for t in (one, two, passage, tail)}
+    want = [(1, 0), (1, 0), (1, n[one]), (2, 0), (3, n[passage]), (0, n[tail]), (0, n[tail]), (0, n[one]), (5, 0), (5, 0)]
+    assert sorted(spans) == sorted([*want, *[(i, n[two] + n[passage]) for i in (3, 3, 4)]])
+    got = repeat_removal.cut_repeats(docs(spark, [(None, tail), (None, tail), (7, one)])).collect()
+    assert sorted((r.doc_id or 0, r.text, r.uid) for r in got) == sorted([(0, tail, 7), (7, one, 7)])
+
+
 def test_intervals_are_the_common_prefix_tree():
     rng = random.Random(4)
     for _ in range(200):
