@@ -46,7 +46,8 @@ BROADCAST_NODES = 200_000
 TOKEN = re.compile(
     r"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|<[!?/][^>]*+>", re.S
 )
-ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute, consumed whole; only the names that matter here are captured.
+ATTRIBUTE = re.compile(r"""(?:(class|id|role|hidden)(?![^\s/>=])|[^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'>][^\s>]*)))?""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 INLINE = frozenset(
@@ -89,6 +90,8 @@ def purpose(tag: str, attributes: str, in_article: bool) -> tuple[int, str]:
         kind = 1
     if attributes and not attributes.isspace():
         for m in ATTRIBUTE.finditer(attributes):
+            if m[1] is None:
+                continue
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if key == "hidden" and tag not in ("html", "body"):
                 kind = 2

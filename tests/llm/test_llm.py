@@ -486,6 +486,19 @@ def test_main_text(html, text):
     assert text_of(html) == text
 
 
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        ('<div style="overflow: hidden"><article>a <a title="A hidden gem">b</a></article></div>', "a b"),
+        ("<p title='x class=ad id=footer'>a</p><p data-hidden=1>b</p><p hidden-x>c</p><p aria-hidden='true'>d</p><p title=/hidden>e</p>", "a b c d e"),
+        ('<p title = "a hidden gem">a</p><p title="A hidden>b</p><p hidden">c', "a c"),
+        ("<p>a</p><p title=''hidden>b</p><p/hidden>c</p><p HIDDEN=''>d</p><p title=x\nclass = ad>e</p>", "a"),
+    ],
+)
+def test_attributes_are_read_whole(html, text):
+    assert text_of(html) == text
+
+
 def test_style_tree_removes_what_a_site_repeats(spark):
     rng = random.Random(2)
     row = lambda k, host: (k, f"http://{host}/p{k}", f"<div class=x><p class=q>Same words on each page of the site</p><div class=body><p>{prose(rng, 60)}</p></div></div>", "x")
