@@ -38,6 +38,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from surveyloom.llm.blocks import from_gaps, gaps, mix, portions, ranges, runs, texts
 from surveyloom.llm.components import components
@@ -114,6 +115,10 @@ def shingle_sets(raw: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def set_digests(sets: list[np.ndarray]) -> list[bytes]:
+    return [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+
+
 def six(tokens: np.ndarray) -> bytes:
     return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : TOKEN_BITS // 8].tobytes()
 
@@ -143,7 +148,7 @@ def shingle_blocks(docs: DataFrame, parts: int) -> DataFrame:
             rows["uid"] = uid + np.arange(len(sets))
             rows["id"], rows["null"] = [k or 0 for k in keys], [k is None for k in keys]
             rows["n"] = [len(s) for s in sets]
-            digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            digests = set_digests(sets)
             both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             rows["d1"], rows["d2"] = both[:, 0], both[:, 1]
             of = np.arange(len(sets)) * parts // max(1, len(sets))
@@ -368,8 +373,8 @@ def links_of_groups(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out)
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of rows (doc_id, text)."""
+def joined_rows(docs: DataFrame) -> DataFrame:
+    """(uid, doc_id, n, d1, d2, component, component_id) of rows (doc_id, text); no component for those without shingles."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // TEXT_A_PARTITION))
     counted = shingle_blocks(docs, parts).groupBy("part").applyInPandas(spread_docs(parts), BLOCKS)
@@ -397,30 +402,67 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     own = sets.select("uid", "doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
     placed = own.where("n > 0").join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    placed = placed.select("doc_id", "n", F.coalesce("component", "rep").alias("component"))
+    placed = placed.select("uid", "doc_id", "n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
     ids = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    rows = placed.join(ids, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return rows.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    none = sets.where("n = 0").select("uid", "doc_id", "n", "d1", "d2", F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"))
+    return placed.join(ids, "component").select(none.columns).unionByName(none)
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of rows (doc_id, text)."""
+    return joined_rows(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def with_digests(docs: DataFrame) -> DataFrame:
+    """(row, key, text, n, d1, d2): rows as they are, their ids, and size and digest of their shingle sets."""
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets: list[np.ndarray] = []
+            raw = texts(batch.column(2))
+            for s in portions([len(x) for x in raw], PORTION):
+                sets += shingle_sets(raw[s])
+            both = np.frombuffer(b"".join(set_digests(sets)), "<i8").reshape(-1, 2)
+            found = [pa.array(np.array(x, np.int64)) for x in ([len(s) for s in sets], both[:, 0], both[:, 1])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=["row", "key", "text", "n", "d1", "d2"])
+
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("key"), "text")
+    schema = StructType([*packed.schema.fields, *(StructField(c, LongType()) for c in ("n", "d1", "d2"))])
+    return packed.mapInArrow(digests, schema)
+
+
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, without those that have a near-duplicate of a smaller id.
+    """One row of each component of near-duplicates, with all its columns: the smallest by (id, nulls last; row read first).
 
-    Rows without an id stay. Of rows with equal ids and texts one stays.
+    Rows without words are in no component; of those with equal ids and texts one stays, those without an id all stay.
     """
-    found = written(jaccard_components(docs), "near-copies")
-    ids = found.where("doc_id IS NOT NULL")
-    gone = ids.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    found = written(joined_rows(docs), "near-copies")
+    twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    twice = written(twice, "repeated-ids")
+    # an id found once stands for its row
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    unclear = not twice.isEmpty() or not found.where("doc_id IS NULL").isEmpty()
     n = gone.count()
     if n <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    left = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
-    twice = ids.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if not twice.isEmpty():
-        again = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        left = left.join(twice, "doc_id", "left_anti").unionByName(again.select(left.columns))
-    return left.select(docs.columns)
+    if not unclear:
+        return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(docs.columns)
+    again = twice.select(F.col("doc_id").alias("again"))
+    once = docs.where("doc_id IS NOT NULL").join(again, docs["doc_id"] == F.col("again"), "left_anti")
+    left = once.join(gone, once["doc_id"] == gone["gone"], "left_anti").select(docs.columns)
+    # repeated and null ids: the first row of a component that has the component's id, known by its id and set
+    least = found.where("n > 0").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    least = least.where("doc_id IS NULL").unionByName(least.join(twice, "doc_id", "left_semi").select(least.columns))
+    first = least.groupBy("component").agg(F.min_by(F.struct("doc_id", "d1", "d2"), "uid").alias("first")).select("first.*")
+    first = written(first.select(F.col("doc_id").alias("first_id"), F.col("d1").alias("first_d1"), F.col("d2").alias("first_d2")), "first-rows")
+    rows = docs.where("doc_id IS NULL").unionByName(docs.join(again, docs["doc_id"] == F.col("again"), "left_semi"))
+    rows = with_digests(rows)
+    same = F.col("key").eqNullSafe(F.col("first_id")) & (F.col("d1") == F.col("first_d1")) & (F.col("d2") == F.col("first_d2"))
+    kept = rows.where("n > 0").join(first, same, "left_semi").dropDuplicates(["key", "d1", "d2"])
+    wordless = rows.where("n = 0")
+    wordless = wordless.where("key IS NULL").unionByName(wordless.where("key IS NOT NULL").dropDuplicates(["key", "text"]))
+    return left.unionByName(kept.unionByName(wordless).select("row.*"))

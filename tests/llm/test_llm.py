@@ -317,6 +317,18 @@ def test_one_of_each_group_stays(spark):
     assert left.where("doc_id IS NULL").count() == 1 and left.columns == docs(spark, []).columns
 
 
+def test_one_of_each_group_stays_by_row(spark):
+    rng = random.Random(14)
+    a, b, c, d, e, f = (prose(rng, 60).replace("é", "") for _ in range(6))
+    rows = [(3, a), (7, a), (7, b), (8, c), (8, c + " tail"), (9, d), (9, d.upper()), (None, e), (None, e), (None, e + " tail"), (None, f), (5, f), (None, b + " tail")]
+    rows += [(6, ""), (6, ""), (None, ""), (None, None)]
+    for order in (rows, rows[::-1]):
+        left = ngram_join.keep_one_of_each(docs(spark, order))
+        got = sorted((r.doc_id or 0, (r.text or "").lower().removesuffix(" tail")) for r in left.collect())
+        assert got == sorted([(3, a), (7, b), (8, c), (9, d.lower()), (0, e), (5, f), (6, ""), (0, ""), (0, "")]) and left.columns == docs(spark, []).columns
+    assert ngram_join.keep_one_of_each(docs(spark, [])).count() == 0
+
+
 @pytest.mark.parametrize("numbers", [[], [0], [0, 0, 254, 255, 255, 510, 511], [70_000, 70_000, 70_765], [255], [254]])
 def test_gaps_round_trip(numbers):
     from surveyloom.llm.blocks import from_gaps, gaps
