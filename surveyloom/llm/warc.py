@@ -15,9 +15,11 @@ no payload.
 
 Edge cases: a null html is an empty payload; a null url leaves the target out;
 a null id is an id like any other (its own ``page_id`` is null) and counts as
-the largest; rows with the same id and payload are one page and are written
-once; rows with the same id and other payloads are pages of their own; empty
-tables give archives without records; other columns are ignored.
+the largest; every row has a record: of rows with the same id and payload the
+one with the smallest url (null last) bears the page's plain record id, the
+others add their url's digest and a number to it; rows with the same id and
+other payloads are pages of their own; empty tables give archives without
+records; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -104,6 +106,23 @@ def page_records(record_id: str, url: str | None, payload: bytes, digest: str, r
         yield record({"WARC-Type": "continuation", "WARC-Record-ID": own, "WARC-Date": DATE, "WARC-Segment-Origin-ID": record_id, "WARC-Segment-Number": k, "WARC-Segment-Total-Length": last}, block[at : at + SEGMENT])
 
 
+def repeats(rows: DataFrame) -> DataFrame:
+    """A record for each of the rows that share their page_id and payload with others; only responses bear html."""
+    large = F.octet_length("html") >= SMALL
+    rows = rows.select("page_id", "digest", "url", "record_id", "refers_to", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), F.coalesce(large, F.lit(False)).alias("large"))
+    # equal rows are one with a number; of these the one with the smallest url holds the page's record id
+    equal = rows.groupBy("page_id", "digest", "url", "record_id", "refers_to", "large").agg(F.first("html").alias("html"), F.count(F.lit(1)).alias("n"))
+    equal = written(equal, "page-repeats")
+    key = F.struct(F.col("url").isNull().alias("null"), "url")
+    least = equal.groupBy(F.col("record_id").alias("of")).agg(F.min(key).alias("least"))
+    equal = equal.join(least, F.col("record_id") == F.col("of")).withColumn("least", F.col("least").eqNullSafe(key))
+    places = equal.select("record_id", "digest", "url", "refers_to", "large", "least", "html", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("number"))
+    plain = F.col("least") & (F.col("number") == 1)
+    own = F.concat(F.expr("substring(record_id, 1, length(record_id) - 1)"), F.lit(":"), F.sha2(F.concat(F.when(F.col("url").isNull(), "0").otherwise("1"), F.coalesce("url", F.lit(""))), 256), F.lit(":"), F.col("number").cast("string"), F.lit(">"))
+    refers_to = F.coalesce("refers_to", F.when(F.col("large") & ~plain, F.col("record_id")))
+    return places.select(F.when(plain, F.col("record_id")).otherwise(own).alias("record_id"), "url", F.when(refers_to.isNull(), F.col("html")).alias("html"), "digest", refers_to.alias("refers_to"))
+
+
 def write_warc(pages: DataFrame, path: str) -> None:
     """Write (page_id, url, html) as archives below ``path``."""
     html = F.coalesce("html", F.lit(""))
@@ -122,8 +141,9 @@ def write_warc(pages: DataFrame, path: str) -> None:
     same = pages["page_id"].eqNullSafe(marks["key"]) & (pages["digest"] == marks["key_digest"])
     one = pages.join(marks, same, "left").withColumn("record_id", record_id("page_id"))
     if n_marks and not keys.where("repeated").isEmpty():
-        twice = one.where("repeated").dropDuplicates(["page_id", "digest"])
-        one = one.where("repeated IS NULL OR NOT repeated").unionByName(twice)
+        columns = ["record_id", "url", "html", "digest", "refers_to"]
+        twice = repeats(one.where("repeated"))
+        one = one.where("repeated IS NULL OR NOT repeated").select(columns).unionByName(twice.select(columns))
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (x.slice(k, PAGES) for x in batches for k in range(0, x.num_rows, PAGES)):

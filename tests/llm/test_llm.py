@@ -182,6 +182,28 @@ def test_warc_round_trip(spark, tmp_path):
     assert got[""].record_type == "revisit"
 
 
+def test_warc_has_a_record_for_each_row(spark, tmp_path):
+    large, small, other = "z" * 40_000, "s" * 20, "o" * 150
+    rows = [(5, "http://b", large), (5, "http://a", large), (5, "http://a", large), (5, None, large), (5, "http://a", other), (7, "http://c", large), (7, "http://c", large)]
+    rows += [(8, "u", small), (8, "u", small), (8, "v", small), (None, "u", None), (None, "v", None), (None, "", None), (None, None, None), (None, "u", other), (None, "u", other), (9, "w", None)]
+    path = f"file://{tmp_path}/w"
+    warc.write_warc(pages(spark, rows), path)
+    got = warc.read_warc(spark, path).collect()
+    sha = lambda h: hashlib.sha256((h or "").encode()).hexdigest()
+    key = lambda i, u, h: (str(i or ""), u or "", sha(h))
+    assert sorted((r.record_id.split(":")[2], r.target_uri or "", r.payload_digest) for r in got) == sorted(key(*r) for r in rows)
+    ids = {r.record_id: r for r in got}
+    assert len(ids) == len(got) == len(rows) and all(r.complete for r in got)
+    for r in got:
+        if r.record_type == "response":
+            assert r.refers_to is None and hashlib.sha256(r.payload).hexdigest() == r.payload_digest
+        else:
+            assert ids[r.refers_to].record_type == "response" and ids[r.refers_to].payload_digest == r.payload_digest
+    responses = [r for r in got if r.record_type == "response"]
+    assert sorted(r.payload_digest for r in responses) == sorted([sha(large), sha(other), *[sha(small)] * 3, *[sha("")] * 5])
+    assert {r.target_uri for r in responses if r.payload_digest == sha(large)} == {"http://a"}
+
+
 def test_warc_segments_are_checked():
     block = b"H\r\n\r\nbody"
     part = lambda k, b: {"segment": k, "block": b}
