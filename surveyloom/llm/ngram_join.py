@@ -36,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -373,6 +373,12 @@ def links_of_groups(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out)
 
 
+def task_of(tasks: int) -> list[Column]:
+    """(task, own) of dealt rows: groups of one block share ``tasks`` tasks, each pair of blocks of a larger group is a task of its own."""
+    alone = F.col("blocks") == 1
+    return [F.when(alone, F.pmod(F.xxhash64("cand"), F.lit(tasks))).alias("task"), F.when(~alone, F.col("cand")).alias("own")]
+
+
 def joined_rows(docs: DataFrame) -> DataFrame:
     """(uid, doc_id, n, d1, d2, component, component_id) of rows (doc_id, text); no component for those without shingles."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -392,12 +398,11 @@ def joined_rows(docs: DataFrame) -> DataFrame:
         .join(blocks, "cand")
         .withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("cand", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "uid")
+        .select("cand", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "blocks", "uid")
         .join(sets.select("uid", "n", "keys"), "uid")
     )
     tasks = max(1, -(-groups.count() // ROWS_A_TASK)) * 8
-    task = F.pmod(F.xxhash64("cand", "low", "high"), F.lit(tasks)).alias("task")
-    links = dealt.select(task, "*").groupBy("task").applyInPandas(links_of_groups, "uid long, root long")
+    links = dealt.select(*task_of(tasks), "*").groupBy("task", "own", "low", "high").applyInPandas(links_of_groups, "uid long, root long")
     joined = components(written(links, "links").select(F.col("uid").alias("u"), F.col("root").alias("v")))
 
     own = sets.select("uid", "doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")

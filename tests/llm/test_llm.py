@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -303,6 +304,14 @@ def test_intervals_are_the_common_prefix_tree():
 # ---- op5 ----
 
 
+class ListOf(AccumulatorParam):
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, one, other):
+        return one + other
+
+
 def check_join(spark, rows):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs(spark, rows)).collect()}
     assert got == brute.jaccard_components(rows)
@@ -331,6 +340,24 @@ def test_join_of_near_copies(spark, monkeypatch):
     check_join(spark, rows)
 
 
+def test_a_task_holds_one_pair_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    sizes = spark.sparkContext.accumulator([], ListOf())
+    whole = ngram_join.links_of_groups
+
+    def links(key, rows):
+        sizes.add([(rows.groupby(["cand", "low", "high"]).ngroups, len(rows))])
+        return whole(key, rows)
+
+    monkeypatch.setattr(ngram_join, "links_of_groups", links)
+    rng = random.Random(15)
+    words = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*words[:rng.randrange(50, 60)], f"own{i}"])) for i in range(300)]
+    check_join(spark, rows)
+    # 38 blocks of about 8: each task one pair, no more rows than two blocks can have
+    assert len(sizes.value) > 300 and all(n == 1 for n, _ in sizes.value) and max(k for _, k in sizes.value) < 60
+
+
 def test_one_of_each_group_stays(spark):
     rows = edge_texts()
     left = ngram_join.keep_one_of_each(docs(spark, [*rows, (16, "a b c d e")]))
