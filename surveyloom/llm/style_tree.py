@@ -1,22 +1,28 @@
 """Main-text extraction with a site style tree.
 
-The pages of a host are merged into one tree: elements with the same path of
-tags and classes are one node. From all pages of the host each node gets an
-importance between 0 and 1:
-
-* presentation: how much the sequences of child tags differ between pages,
-* content: one minus the mean entropy of the node's text blocks over the pages
-  that have the node. A block found on one page has entropy 0, a block found
-  on all of them 1.
-
-The larger of the two counts. On a page, a branch whose text-weighted mean
-importance is under ``NOISE`` is removed. Hosts with few pages, and hosts whose
-main text repeats itself, give no evidence and nothing is removed on it.
-
-Elements whose tag, role or class names their purpose (menus, headers, footers,
-sidebars, notices, adverts, forms, comments) are removed on every page; an
-element that only wraps the article is not. The text is that of the longest
-article, else of the main element, else of the body.
+Each page is parsed once, into a written table of its elements and text
+blocks. The pages of a host are merged into one tree: elements with the same
+path of tags and classes are one node. From the ``m`` pages that have it each
+node gets two importances between 0 and 1:
+
+* layout: the entropy of the sequences of child tags, over its largest value,
+* content: one minus the mean entropy of the node's text blocks; a block found
+  on one page has entropy 0, a block found on all of them 1.
+
+``m`` pages are evidence of weight ``1 - 1/m``: one page says nothing, and what
+a host repeats loses its importance little by little as pages are added.
+
+On a page a block is worth its node's content importance times the mean of 1
+and the largest layout importance around it. A branch is worth the mean of what
+is kept in it, times what its purpose gives it beforehand: 1, less for what
+stands outside the page's article and for what is named like a menu, advert,
+comment and so on. In each element, what is worth less than ``RATIO`` of the
+best that the element holds is removed. As branches are only compared with what
+stands beside them, an element that wraps the whole page is never removed, by
+whatever name, and pages that are all alike lose nothing.
+
+Menus, footers, asides, dialogs, page headers and ARIA landmarks are worth
+nothing by their tag or role, so they go on every page.
 
 Edge cases: a null or empty html gives an empty text; a null url belongs to the
 host ""; repeated rows give repeated rows; empty tables give empty results;
@@ -26,22 +32,23 @@ other columns are ignored. Whole pages are read, however long.
 from __future__ import annotations
 
 import html as entities
-import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.llm.tables import table, written
 
-#: A branch below this importance is noise; pages a node needs; importance the host's main node needs.
-NOISE, LEAST_PAGES, LEAST_MAIN = 0.15, 8, 0.5
-#: Rows of low-importance nodes that are broadcast; more are joined by host.
-BROADCAST_NODES = 200_000
+#: What is worth less than this part of the best beside it is removed; the best must hold this share of the text there.
+RATIO, SHARE = 0.3, 0.05
+#: Worth beforehand of what stands outside the article, and of an element named like noise on a page without an article.
+OUTSIDE, NAMED = 0.2, 0.1
+#: Nodes of all trees that are handed to every task; more are joined to the pages that have them.
+BROADCAST_NODES = 100_000
 
 TOKEN = re.compile(
     r"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|<[!?/][^>]*+>", re.S
@@ -59,52 +66,70 @@ ENDS_P = frozenset(
 )
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LISTS = frozenset("ul ol dl table menu select".split())
-#: Never text of the page; not the article by purpose.
+#: Never text of the page; not the article by tag or role.
 UNSEEN = RAW | frozenset("head svg math canvas object audio video datalist".split())
-NOT_ARTICLE = frozenset("nav footer aside form menu button select dialog".split())
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+NOT_ARTICLE = frozenset("nav footer aside menu button select dialog".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
+#: Words of classes and ids that noise is named by, and those that turn such a name into something else (has-sidebar).
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright disclaimer"
     " disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promotion promoted"
     " recommended recommendations related replies respond search share sharing sidebar sidenav signup social sponsor sponsored subscribe tagcloud toolbar topbar widget widgets".split()
 )
+TURNED = frozenset("no not non has with without open closed enabled disabled".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 
+#: Kinds of elements: text, named like noise, noise by tag or role, never seen.
+TEXT, LIKE_NOISE, NOISE, HIDDEN = range(4)
+
+
 class Page:
     """Elements and text blocks of one page. Element 0 is the document."""
 
     __slots__ = ("blocks", "children", "kind", "parent", "path", "tag")
 
     def __init__(self) -> None:
-        self.tag, self.parent, self.path, self.kind, self.children = [""], [-1], [0], [0], [[]]
+        self.tag, self.parent, self.path, self.kind, self.children = [""], [-1], [0], [TEXT], [[]]
         self.blocks: list[tuple[int, str]] = []
 
 
+def noise_words(value: str) -> set[str]:
+    """Words of a class or id that name noise."""
+    found: set[str] = set()
+    for name in value.split():
+        words = set(re.split(r"[^a-z]+", name))
+        if TURNED.isdisjoint(words):
+            found |= words & NAMES
+    return found
+
+
 def purpose(tag: str, attributes: str, in_article: bool) -> tuple[int, str]:
-    """(0 kept, 1 removed, 2 never seen; class names) of an element."""
+    """(kind, class names) of an element."""
     if tag in UNSEEN:
-        return 2, ""
-    kind, names = 0, ""
+        return HIDDEN, ""
+    kind, names = TEXT, ""
     if tag in NOT_ARTICLE or tag == "header" and not in_article:
-        kind = 1
+        kind = NOISE
+    elif tag == "form":
+        kind = LIKE_NOISE
     if attributes and not attributes.isspace():
         for m in ATTRIBUTE.finditer(attributes):
             if m[1] is None:
                 continue
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if key == "hidden" and tag not in ("html", "body"):
-                kind = 2
+                kind = HIDDEN
             elif key == "role":
-                kind = max(kind, value in ROLES)
+                kind = max(kind, NOISE if value in ROLES else TEXT)
             elif value:
-                words = re.split(r"[^a-z]+", value)
                 if key == "class":
                     names = value
-                if tag not in ("html", "body", "main") and tag not in HEADINGS and not NAMES.isdisjoint(words):
-                    # the header or footer of an article names itself so; an article's own header stays
-                    if not (in_article and NAMES.intersection(words) <= {"header", "byline"}):
-                        kind = max(kind, 1)
+                if tag not in ("html", "body", "main") and tag not in HEADINGS:
+                    words = noise_words(value)
+                    # an article's own header names itself so, and stays
+                    if words and not (in_article and words <= {"header", "byline"}):
+                        kind = max(kind, LIKE_NOISE)
     return kind, names
 
 
@@ -127,7 +152,7 @@ def parse(text: str) -> Page:
         del stack[down_to:]
 
     def text_run(run: str) -> None:
-        if run and kind[stack[-1]] != 2:
+        if run and kind[stack[-1]] != HIDDEN:
             buffer.append(entities.unescape(run) if "&" in run else run)
 
     while True:
@@ -176,8 +201,8 @@ def parse(text: str) -> Page:
                     break
         why, names = purpose(name, m[3], articles > 0)
         up = stack[-1]
-        if kind[up] == 2:
-            why = 2
+        if kind[up] == HIDDEN:
+            why = HIDDEN
         if name not in INLINE or why:
             flush()
         tag.append(name)
@@ -200,136 +225,196 @@ def hash_of(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
-def observations(page: Page) -> Iterator[tuple[int, int, int]]:
-    """(node, value, characters) of a page: what its tree holds of presentation (odd values) and content (even values)."""
+def observations(page: Page) -> set[tuple[int, int]]:
+    """(node, value) of a page: 0 for its presence, odd values for layouts, other even values for text blocks."""
+    out = set()
     for e, own in enumerate(page.children):
-        if own and page.kind[e] != 2 and page.tag[e] not in INLINE:
-            yield page.path[e], hash_of(" ".join(own)) | 1, 0
+        if own and page.kind[e] != HIDDEN and page.tag[e] not in INLINE:
+            out |= {(page.path[e], 0), (page.path[e], hash_of(" ".join(own)) | 1)}
     for e, block in page.blocks:
-        yield page.path[e], hash_of(block) & ~1, len(block)
-
-
-def main_text(page: Page, importance: dict[int, float]) -> str:
-    """Text of the page's article without removed branches."""
-    n = len(page.tag)
-    parent, kind, tag = page.parent, page.kind, page.tag
-    # importance of each branch: text-weighted mean of its blocks
-    if importance:
-        chars, weight = [0] * n, [0.0] * n
-        for e, block in page.blocks:
-            chars[e] += len(block)
-            weight[e] += len(block) * importance.get(page.path[e], 1.0)
-        for e in range(n - 1, 0, -1):
-            chars[parent[e]] += chars[e]
-            weight[parent[e]] += weight[e]
-        noise = [e > 0 and chars[e] > 0 and weight[e] < NOISE * chars[e] and tag[e] not in HEADINGS for e in range(n)]
-    else:
-        noise = [False] * n
-    # the nearest removed element at or above each one, and the chain of articles
-    removed, above = [-1] * n, [-1] * n
-    container = [-1] * n
+        out |= {(page.path[e], 0), (page.path[e], hash_of(block) & ~1 or 2)}
+    return out
+
+
+def worth_beforehand(page: Page) -> tuple[list[float], list[float]]:
+    """What each element's branch, and its own text, is worth by its purpose."""
+    n, parent, kind, tag = len(page.tag), page.parent, page.kind, page.tag
+    noise, size, inner, plain = [TEXT] * n, [0] * n, [False] * n, [False] * n
     for e in range(1, n):
-        removed[e] = e if kind[e] == 1 or noise[e] else removed[parent[e]]
-        above[e] = above[parent[e]]
-        if tag[e] in ("article", "main"):
-            above[e] = e
-            container[e] = above[parent[e]]
-    inside = lambda e: above[e]
-    size: Counter[int] = Counter()
-    for e, block in page.blocks:
-        c = inside(e)
-        while c > 0:
-            # the block counts for this container unless something removed lies between
-            if removed[e] <= c and not (removed[e] == c):
-                size[c] += len(block)
-            c = container[c]
-    clean = [c for c in size if removed[c] < 0] or [c for c in size if removed[c] != c]
-    chosen = max(clean, key=lambda c: (tag[c] == "article", size[c], -c), default=0)
-    out = []
+        noise[e] = max(kind[e], noise[parent[e]])
     for e, block in page.blocks:
-        if removed[e] > chosen or chosen == 0 and removed[e] > 0:
-            continue
-        if chosen:
-            c = inside(e)
-            while c > chosen:
-                c = container[c]
-            if c != chosen:
-                continue
-        out.append(block)
-    return " ".join(out)
+        size[e] += len(block)
+        # text of a block element of its own, not of the branch's top
+        plain[e] = True
+    for e in range(n - 1, 0, -1):
+        up = parent[e]
+        size[up] += size[e]
+        inner[up] |= inner[e] or plain[e] and tag[e] not in INLINE
+    # articles with text: unmarked and not in noise, else at least not in what is noise by tag
+    mains: list[int] = []
+    for most in (TEXT, LIKE_NOISE):
+        for name in ("article", "main"):
+            mains = mains or [e for e in range(1, n) if tag[e] == name and kind[e] == TEXT and noise[e] <= most and size[e]]
+    longest = max((size[e] for e in mains), default=0)
+    # a teaser beside the article is worth its share of the article's length
+    own_worth = {e: max(OUTSIDE, size[e] / longest) for e in mains}
+    holds = [False] * n
+    for e in mains:
+        up = parent[e]
+        while up >= 0 and not holds[up]:
+            holds[up] = True
+            up = parent[up]
+    branch, text, within = [1.0] * n, [1.0] * n, [False] * n
+    for e in range(n):
+        up = parent[e]
+        within[e] = e in own_worth or e > 0 and within[up]
+        if mains and not within[e]:
+            text[e] = OUTSIDE if holds[e] else 1.0
+        if kind[e] >= NOISE:
+            branch[e] = 0.0
+        elif kind[e] == LIKE_NOISE and not holds[e]:
+            branch[e] = 0.0 if mains or not inner[e] else NAMED
+        elif e in own_worth and not (e > 0 and within[up]):
+            branch[e] = own_worth[e]
+        elif mains and e > 0 and holds[up] and not holds[e] and not within[e]:
+            branch[e] = OUTSIDE
+    return branch, text
+
+
+def main_text(row: dict, tree: dict[int, tuple[float, float]]) -> str:
+    """Text of a parsed page without branches of low importance; ``tree`` has (content, layout) of the host's nodes."""
+    parent, path, branch, own, heading = row["parent"], row["path"], row["branch"], row["own"], row["heading"]
+    owner, blocks = row["owner"], row["block"]
+    n = len(parent)
+    layout, chars, worth = [0.0] * n, [0] * n, [0.0] * n
+    for e in range(1, n):
+        layout[e] = max(layout[parent[e]], tree.get(path[e], (1.0, 1.0))[1])
+    for e, block in zip(owner, blocks, strict=True):
+        chars[e] += len(block)
+    # what each element holds: (worth, characters, element; its own text for the element itself)
+    held: list[list[tuple[float, int, int]]] = [[] for _ in range(n)]
+    gone, silent = [False] * n, [False] * n
+    for e in range(n - 1, -1, -1):
+        parts = held[e]
+        if chars[e]:
+            parts.append((own[e] * tree.get(path[e], (1.0, 1.0))[0] * (1 + layout[e]) / 2, chars[e], e))
+        if len(parts) > 1:
+            least = SHARE * sum(c for w, c, _ in parts if w)
+            limit = RATIO * max((w for w, c, _ in parts if c >= least), default=0.0)
+        else:
+            limit = 0.0
+        total = kept = 0.0
+        for w, c, x in parts:
+            if w == 0 or w < limit and not (heading[x] and x != e and branch[x] == 1):
+                if x == e:
+                    silent[e] = True
+                else:
+                    gone[x] = True
+            else:
+                total += w * c
+                kept += c
+        held[e] = []
+        if kept and e:
+            held[parent[e]].append((branch[e] * total / kept, int(kept), e))
+    for e in range(1, n):
+        gone[e] = gone[e] or gone[parent[e]]
+    return " ".join(block for e, block in zip(owner, blocks, strict=True) if not gone[e] and not silent[e])
+
+
+def parsed_row(text: str) -> dict:
+    """What is kept of a page: its elements, blocks and observations."""
+    page = parse(text)
+    branch, own = worth_beforehand(page)
+    seen = sorted(observations(page))
+    return {
+        "parent": page.parent, "path": page.path, "branch": branch, "own": own, "heading": [t in HEADINGS for t in page.tag],
+        "owner": [e for e, _ in page.blocks], "block": [x for _, x in page.blocks], "node": [k for k, _ in seen], "value": [v for _, v in seen],
+    }
 
 
 def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def node_importance(pages: DataFrame) -> DataFrame:
-    """(host, node, importance) of the nodes of all hosts' style trees that are worth less than 1."""
-
-    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["host", "node", "value", "n", "chars"]
-        counts: Counter = Counter()
-        chars: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            host, node, value = zip(*counts, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(host, pa.string()), *(pa.array(x, pa.int64()) for x in (node, value, counts.values(), [chars[k] for k in counts]))], names=names)
-
-        for batch in batches:
-            for host, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own: dict[tuple, int] = {}
-                for node, value, size in observations(parse(text.as_py() or "")):
-                    own[host, node, value] = size
-                    own[host, node, None] = 0
-                counts.update(own.keys())
-                chars.update(own)
-                if len(counts) > 200_000:
-                    yield out()
-                    counts.clear()
-                    chars.clear()
-        if counts:
-            yield out()
-
-    rows = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(seen, "host string, node long, value long, n long, chars long")
-    values = rows.groupBy("host", "node", "value").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
-    style = F.col("value").bitwiseAND(1) == 1
+PARSED = {
+    "parent": pa.list_(pa.int32()), "path": pa.list_(pa.int64()), "branch": pa.list_(pa.float32()), "own": pa.list_(pa.float32()), "heading": pa.list_(pa.bool_()),
+    "owner": pa.list_(pa.int32()), "block": pa.list_(pa.string()), "node": pa.list_(pa.int64()), "value": pa.list_(pa.int64()),
+}
+PAGE = ["parent", "path", "branch", "own", "heading", "owner", "block"]
+ROWS = (
+    "uid long, page_id long, url string, host long, parent array<int>, path array<long>, branch array<float>, own array<float>, heading array<boolean>,"
+    " owner array<int>, block array<string>, node array<long>, value array<long>"
+)
+#: Pages parsed before they are handed on.
+BATCH = 500
+
+
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """One row per page with all that is needed of it. ``uid`` numbers the rows once they are written."""
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uid = TaskContext.get().partitionId() << 34
+        for batch in (x.slice(k, BATCH) for x in batches for k in range(0, x.num_rows, BATCH)):
+            rows = [parsed_row(text.as_py() or "") for text in batch.column(3)]
+            found = [pa.array([r[c] for r in rows], t) for c, t in PARSED.items()]
+            numbers = pa.array(range(uid, uid + len(rows)), pa.int64())
+            uid += len(rows)
+            yield pa.RecordBatch.from_arrays([numbers, *batch.columns[:3], *found], names=["uid", "page_id", "url", "host", *PARSED])
+
+    own = pages.select(F.col("page_id").cast("long"), "url", F.xxhash64(host_of(F.col("url"))).alias("host"), "html")
+    return own.mapInArrow(parsed, ROWS)
+
+
+def node_importance(parsed: DataFrame) -> DataFrame:
+    """(host, node, content, layout) of the nodes that two pages or more have."""
+    seen = parsed.select("host", F.explode(F.arrays_zip("node", "value")).alias("x")).select("host", "x.node", "x.value")
+    values = seen.groupBy("host", "node", "value").agg(F.count(F.lit(1)).alias("n"))
     n, nlogn = F.col("n"), F.col("n") * F.log(F.col("n").cast("double"))
+    style = F.col("value").bitwiseAND(1) == 1
+    text = ~style & (F.col("value") != 0)
     nodes = values.groupBy("host", "node").agg(
-        F.sum(F.when(F.col("value").isNull(), n)).alias("pages"),
+        F.sum(F.when(F.col("value") == 0, n)).alias("m"),
         F.sum(F.when(style, n)).alias("styles"), F.sum(F.when(style, nlogn)).alias("styles_log"),
-        F.sum(F.when(~style, n)).alias("blocks"), F.sum(F.when(~style, nlogn)).alias("blocks_log"),
-        F.sum("chars").alias("chars"),
+        F.sum(F.when(text, n)).alias("blocks"), F.sum(F.when(text, nlogn)).alias("blocks_log"),
     )
-    log_pages = F.log(F.col("pages").cast("double"))
-    presentation = F.coalesce((F.log(F.col("styles").cast("double")) - F.col("styles_log") / F.col("styles")) / log_pages, F.lit(0.0))
-    content = F.coalesce(1 - F.col("blocks_log") / F.col("blocks") / log_pages, F.lit(0.0))
-    worth = nodes.where((F.col("pages") >= LEAST_PAGES) & F.col("blocks").isNotNull()).select("host", "node", "chars", F.greatest(presentation, content).alias("importance"))
-    main = worth.groupBy("host").agg(F.max_by("importance", "chars").alias("main"))
-    trusted = main.where(F.col("main") >= LEAST_MAIN).select("host")
-    return worth.where(F.col("importance") < 0.9).join(trusted, "host").select("host", "node", "importance")
+    most, known = F.log(F.col("m").cast("double")), 1 - 1 / F.col("m")
+    layout = F.coalesce((F.log(F.col("styles").cast("double")) - F.col("styles_log") / F.col("styles")) / most, F.lit(0.0))
+    content = F.coalesce(1 - F.col("blocks_log") / F.col("blocks") / most, F.lit(1.0))
+    weighed = lambda c: (1 - (1 - c) * known).cast("double")
+    return nodes.where("m > 1").select("host", "node", weighed(content).alias("content"), weighed(layout).alias("layout"))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text): the main text of each page. ``pages`` is read twice."""
-    low = written(node_importance(pages), "style-tree")
-    trees = low.groupBy("host").agg(F.collect_list("node").alias("nodes"), F.collect_list("importance").alias("worth"))
-    if low.count() <= BROADCAST_NODES:
-        trees = F.broadcast(trees)
-    full = pages.select(F.col("page_id").cast("long"), "url", host_of(F.col("url")).alias("host"), "html").join(trees, "host", "left")
+    """(page_id, url, text): the main text of each page. ``pages`` is read once."""
+    spark = pages.sparkSession
+    parsed = written(parsed_pages(pages), "parsed-pages")
+    tree = written(node_importance(parsed), "style-tree")
+    rows = parsed.select("uid", "page_id", "url", "host", *PAGE)
+    few = tree.count() <= BROADCAST_NODES
+    if few:
+        trees: dict[int, dict[int, tuple[float, float]]] = {}
+        for r in tree.collect():
+            trees.setdefault(r.host, {})[r.node] = r.content, r.layout
+        handed = spark.sparkContext.broadcast(trees)
+    else:
+        # each page gets its own nodes, however many its host has
+        own = rows.select("uid", "host", F.explode(F.array_distinct("path")).alias("node")).join(tree, ["host", "node"])
+        own = own.groupBy("uid").agg(F.collect_list(F.struct("node", "content", "layout")).alias("nodes"))
+        rows = rows.join(own, "uid", "left")
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, dict[int, float]] = {}
-        for batch in batches:
+        for batch in (x.slice(k, BATCH) for x in batches for k in range(0, x.num_rows, BATCH)):
             texts = []
-            for host, text, nodes, worth in zip(batch.column(2).to_pylist(), *batch.columns[3:], strict=True):
-                if host not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[host] = dict(zip(nodes.as_py() or (), worth.as_py() or (), strict=True))
-                texts.append(main_text(parse(text.as_py() or ""), known[host]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
-
-    return full.select("page_id", "url", "host", "html", "nodes", "worth").mapInArrow(extracted, "page_id long, url string, text string")
+            hosts, columns = batch.column(3).to_pylist(), [batch.column(4 + k).to_pylist() for k in range(len(PAGE))]
+            if few:
+                own = [handed.value.get(h, {}) for h in hosts]
+            else:
+                own = [{x["node"]: (x["content"], x["layout"]) for x in r or ()} for r in batch.column(4 + len(PAGE)).to_pylist()]
+            for nodes, *page in zip(own, *columns, strict=True):
+                texts.append(main_text(dict(zip(PAGE, page, strict=True)), nodes))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:3], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+    return rows.mapInArrow(extracted, "page_id long, url string, text string")
 
 
 def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

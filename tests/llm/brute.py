@@ -1,6 +1,8 @@
 """Plain versions of the operators, for small inputs."""
 
+import math
 import re
+from html.parser import HTMLParser
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -74,3 +76,84 @@ def quality(text):
             again += x in seen
             seen.add(x)
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), again, len(hit)
+
+
+class Dom(HTMLParser):
+    """The tree of a well-formed page: [tag, path, children], text as strings."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.root = ["", "", []]
+        self.open = [self.root]
+        self.feed(html)
+
+    def handle_starttag(self, tag, attrs):
+        up = self.open[-1]
+        node = [tag, f"{up[1]}/{tag}.{dict(attrs).get('class', '')}", []]
+        up[2].append(node)
+        self.open.append(node)
+
+    def handle_endtag(self, tag):
+        self.open.pop()
+
+    def handle_data(self, data):
+        if data.strip():
+            self.open[-1][2].append(" ".join(data.split()))
+
+
+def style_tree(pages):
+    """html of the pages of one site, block elements without purpose only -> {path: (pages, content, layout)}"""
+    there, layouts, blocks = {}, {}, {}
+    for k, html in enumerate(pages):
+        stack = [Dom(html).root]
+        while stack:
+            _, path, inside = stack.pop()
+            tags = tuple(x[0] for x in inside if not isinstance(x, str))
+            if inside:
+                there.setdefault(path, set()).add(k)
+            if tags:
+                layouts.setdefault(path, {}).setdefault(tags, set()).add(k)
+            for x in inside:
+                if isinstance(x, str):
+                    blocks.setdefault(path, {}).setdefault(x, set()).add(k)
+                else:
+                    stack.append(x)
+    out = {}
+    for path, own in there.items():
+        m = len(own)
+        if m < 2:
+            continue
+        total = sum(map(len, layouts.get(path, {}).values()))
+        layout = -sum(len(x) / total * math.log(len(x) / total) for x in layouts.get(path, {}).values()) / math.log(m) if total else 0.0
+        total = sum(map(len, blocks.get(path, {}).values()))
+        # entropy over the pages of a block found on n of them: log n
+        content = 1 - sum(len(x) * math.log(len(x)) for x in blocks.get(path, {}).values()) / total / math.log(m) if total else 1.0
+        out[path] = m, 1 - (1 - content) * (1 - 1 / m), 1 - (1 - layout) * (1 - 1 / m)
+    return out
+
+
+def site_text(html, tree, ratio=0.3, share=0.05):
+    """Text of a page without the branches whose importance is low beside that of their neighbours."""
+
+    def kept(node, layout):
+        tag, path, inside = node
+        layout = max(layout, tree.get(path, (1, 1.0, 1.0))[2]) if path else 0.0
+        own = [x for x in inside if isinstance(x, str)]
+        parts = [(x, *kept(x, layout)) for x in inside if not isinstance(x, str)]
+        parts = [p for p in parts if p[2]]
+        if own:
+            parts.append((None, tree.get(path, (1, 1.0, 1.0))[1] * (1 + layout) / 2, sum(map(len, own)), own))
+        total = sum(p[2] for p in parts)
+        best = max((p[1] for p in parts if p[2] >= share * total), default=0)
+        stay = [p for p in parts if p[1] >= ratio * best or p[0] and p[0][0] in ("h1", "h2")]
+        chars = sum(p[2] for p in stay)
+        texts = {id(p[0]): p[3] for p in stay}
+        out = []
+        for x in inside:
+            if not isinstance(x, str):
+                out += texts.get(id(x), [])
+            elif id(None) in texts:
+                out.append(x)
+        return (sum(p[1] * p[2] for p in stay) / chars if chars else 0.0), chars, out
+
+    return " ".join(kept(Dom(html).root, 0.0)[2])

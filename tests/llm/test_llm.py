@@ -523,8 +523,8 @@ def test_chat_plan_has_no_python(spark, sf_dir, capsys):
 # ---- op10 ----
 
 
-def text_of(html, importance=None):
-    return style_tree.main_text(style_tree.parse(html), importance or {})
+def text_of(html, tree=None):
+    return style_tree.main_text(style_tree.parsed_row(html), tree or {})
 
 
 @pytest.mark.parametrize(
@@ -541,6 +541,19 @@ def text_of(html, importance=None):
         ("<div><p hidden>no</p><p>yes</p></div><div role='navigation'>n</div>", "yes"),
         ("<article><p>unclosed <b>tag", "unclosed tag"),
         ("</div></p><<>< /p><a href=", "<<>< /p><a href="),
+        # wrappers by any name keep what they hold
+        ('<body><div class="layout has-sidebar"><p>a</p><div class=sidebar>s</div></div>', "a"),
+        ('<body><form id="aspnetForm"><nav>n</nav><div><p>a</p></div></form>', "a"),
+        ('<body><div id="content" class="no-comments"><p>a</p></div><div id=comments><p>c</p></div>', "a"),
+        ('<body><main><div class="post with-header"><p>a</p></div></main>', "a"),
+        ('<div class="sidebar layout"><p>a b c d e f g h i j k l m</p></div>.', "a b c d e f g h i j k l m ."),
+        ('<div class="widget"><article>a a a a</article></div><div class="related"><article>b</article></div>', "a a a a"),
+        # beside a clean article
+        ('<article class="post comments-open">a</article><div class="related"><article>b</article></div><div>out</div><h2>out</h2>', "a"),
+        ("<article>" + "one " * 9 + "</article><article>" + "two " * 9 + "</article>", ("one " * 9 + "two " * 9).strip()),
+        ('<nav><p>n</p></nav><div class="ad">only an advert</div><article></article><footer>f</footer>', ""),
+        ('<article><p>short</p></article><div id="comments">' + "<p>much longer comments</p>" * 20 + "</div>", "short"),
+        ('<div><p>short</p></div><div id="comments">' + "<p>longer comments</p>" * 3 + "</div>", "short"),
     ],
 )
 def test_main_text(html, text):
@@ -574,6 +587,56 @@ def test_style_tree_removes_what_a_site_repeats(spark):
     assert style_tree.extract_main_text(df.limit(0)).count() == 0
 
 
+def site(rng, m, words=90):
+    """Pages of one site without any name that tells a purpose: menu, notice, article, list of links, footer."""
+    menu = "".join(f"<li class=z{rng.randrange(2)}>{prose(rng, 2)}</li>" for _ in range(rng.randrange(2, 6)))
+    notice, foot = prose(rng, 12), prose(rng, 9)
+    pages, articles = [], []
+    for _ in range(m):
+        parts = [("h1", prose(rng, 5))] + [("p", prose(rng, rng.randrange(8, words))) for _ in range(rng.randrange(1, 8))]
+        parts = [(t, " ".join(x.split())) for t, x in parts]
+        body = "".join(f"<{t}>{x}</{t}>" for t, x in parts)
+        links = "".join(f"<p class=l>{rng.choice(notice.split())}</p>" for _ in range(rng.randrange(3)))
+        html = f"<body><div class=a><ul>{menu}</ul></div><div class=b><p>{notice}</p></div><div class=c><div class=d>{body}</div><div class=e>{links}</div></div><div class=f>{foot}</div></body>"
+        pages.append(" ".join(html.split()))
+        articles.append(" ".join(x for _, x in parts))
+    return pages, articles
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_style_tree_against_a_plain_one(spark, monkeypatch, few):
+    monkeypatch.setattr(style_tree, "BROADCAST_NODES", 1000 if few else 0)
+    rng = random.Random(31)
+    rows, want, article = [], {}, {}
+    for k, m in enumerate([1, 2, 3, 5, 12, 40]):
+        pages, articles = site(rng, m)
+        tree = brute.style_tree(pages)
+        for j, html in enumerate(pages):
+            i = 100 * k + j
+            rows.append((i, f"http://h{k}.example/{j}", html, "x"))
+            want[i], article[i] = brute.site_text(html, tree), articles[j]
+        got = sorted((round(r.content, 9), round(r.layout, 9)) for r in style_tree.node_importance(style_tree.parsed_pages(pages_of(spark, rows[-m:]))).collect())
+        assert got == sorted((round(c, 9), round(v, 9)) for _, c, v in tree.values())
+    got = {r.page_id: r.text for r in style_tree.extract_main_text(pages_of(spark, rows)).collect()}
+    assert got == want
+    # without the tree everything stays; with enough pages only the article and a word or two of the changing links do
+    assert all(got[i].startswith(article[i]) and len(got[i]) < len(article[i]) + 20 < len(text_of(html)) for i, _, html, _ in rows if i >= 400)
+    assert got[0] == text_of(rows[0][2]) != article[0]
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+
+
+def test_rare_noise_does_not_take_an_article(spark):
+    """Half of a site's pages are copies of one page: what they share stays, being no less worth than what stands beside it."""
+    rng = random.Random(33)
+    pages, articles = site(rng, 20)
+    rows = [(k, "http://h/", pages[0 if k < 10 else k], "x") for k in range(20)]
+    got = {r.page_id: r.text for r in style_tree.extract_main_text(pages_of(spark, rows)).collect()}
+    assert all(got[k].startswith(articles[0 if k < 10 else k]) and len(got[k]) < len(articles[0 if k < 10 else k]) + 20 for k in range(20))
+
+
 def test_long_pages():
     n = 20_000
     assert len(text_of("<article>" + "<p>x <b>y</b></p>" * n + "</article>").split()) == 2 * n
