@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.accumulators import AccumulatorParam
@@ -14,6 +15,7 @@ from tokenizers import Tokenizer
 from surveyloom.llm import best_fit_packing as packing
 from surveyloom.llm import bpe, chat_format, embedding_dedup, ngram_join, packed_matrices, quality_rules, queries, repeat_removal, style_tree, token_ids, warc
 from surveyloom.llm.components import components
+from surveyloom.llm.tables import written
 from tests.conftest import same_as_oracle
 from tests.llm import brute
 
@@ -81,8 +83,12 @@ def test_embedding_edge_cases(spark):
     assert embedding_dedup.near_duplicates(embeddings(spark, [])).count() == 0
 
 
-def test_embedding_forest_against_brute_force(spark):
-    use = embedding_dedup.Settings(leaf=24, sample=200, block=32, least_sample=8)
+@pytest.mark.parametrize("handed", [1 << 25, 0])
+def test_embedding_forest_against_brute_force(spark, monkeypatch, handed):
+    # with and without trees that every task gets
+    monkeypatch.setattr(embedding_dedup, "HANDED_TREES", handed)
+    monkeypatch.setattr(embedding_dedup, "ROUTED", 50)
+    use = embedding_dedup.Settings(leaf=24, sample=200, block=32, least_sample=8, recall=0.9999)
     rng = np.random.default_rng(3)
     centre = rng.standard_normal(32)
     x = [rng.standard_normal(32) for _ in range(300)] + [centre + 0.05 * rng.standard_normal(32) for _ in range(90)]
@@ -95,6 +101,31 @@ def test_embedding_forest_against_brute_force(spark):
     assert sum(got[i][1] == want[i][1] for i in want) >= 0.99 * len(want)
 
 
+def test_default_forest_finds_planted_pairs(spark):
+    """Pairs right above the threshold among vectors without any order, at the default settings."""
+    rng = np.random.default_rng(8)
+    n, planted, d = 56_000, 1500, 32
+    x = rng.standard_normal((n, d))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    aside = rng.standard_normal((planted, d))
+    aside -= (aside * x[:planted]).sum(1)[:, None] * x[:planted]
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    x[planted : 2 * planted] = 0.932 * x[:planted] + np.sqrt(1 - 0.932**2) * aside
+    values = pa.ListArray.from_arrays(np.arange(0, n * d + 1, d, dtype=np.int32), x.ravel())
+    frame = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "label": np.ones(n, np.int32), "embedding": values}))
+    rows, kind = embedding_dedup.prepared(frame)
+    reps = written(rows.select(F.col("vec_id").alias("rep"), "root", "raw", F.lit(1).alias("copies")), "reps")
+    use = embedding_dedup.Settings(kind=kind)
+    cells = written(embedding_dedup.forest(reps, use), "cells")
+    assert cells.count() <= 10 * n
+    # the two of a pair are rows k and planted + k
+    pair = F.col("rep") % planted
+    met = cells.where(F.col("rep") < 2 * planted).groupBy(pair.alias("pair"), "cell").count().where("count = 2").select("pair").distinct().count()
+    assert met >= 0.99 * planted
+    linked = embedding_dedup.near_links(reps, cells, use).where(F.col("rep") < 2 * planted)
+    assert linked.groupBy("rep").agg(F.sum("links").alias("n")).where("n = 1").count() == 2 * met
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 100), (200, 300), (300, 200)], "u long, v long")
     got = {r.id: r.component for r in components(links).collect()}
