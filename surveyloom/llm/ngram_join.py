@@ -42,13 +42,15 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from surveyloom.llm.blocks import from_gaps, gaps, mix, portions, ranges, runs, texts
 from surveyloom.llm.components import components
-from surveyloom.llm.tables import table, written
+from surveyloom.llm.tables import quoted, settled, table, written
 
 WORDS = 5
 #: Two sets link when DEN * intersection >= NUM * union.
 NUM, DEN = 75, 100
-#: Bytes of text hashed at once; shingles sent at once; bytes of text for each partition of shingles; sets in a block of a trie.
-PORTION, WINDOW, TEXT_A_PARTITION, BLOCK, ROWS_A_TASK = 1 << 20, 1 << 20, 1 << 23, 8192, 20_000
+#: Bytes of text hashed at once; shingles sent at once; bytes of text for each partition of shingles.
+PORTION, WINDOW, TEXT_A_PARTITION = 1 << 20, 1 << 20, 1 << 23
+#: Sets in a block of a trie and their bytes; sets of small groups in a task and their bytes.
+BLOCK, BLOCK_BYTES, SETS_A_TASK, BYTES_A_TASK = 8192, 1 << 25, 2500, 1 << 24
 
 #: Ids that are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
@@ -199,7 +201,8 @@ def frequencies(parts: int):
         starts, lengths = runs(tokens[order])
         often = lengths > 1
         kept = order[ranges(starts[often], lengths[often])]
-        frequency = np.repeat(np.minimum(lengths[often], 0xFFFF), lengths[often]).astype(np.uint64)
+        # the upper half of a float: any count, in order, to eight binary digits
+        frequency = np.repeat(lengths[often].astype(np.float32).view(np.uint32) >> 16, lengths[often]).astype(np.uint64)
         keys, uids = (frequency << np.uint64(TOKEN_BITS)) | tokens[kept], uids[kept]
         order = np.argsort(uids, kind="stable")
         keys, uids = keys[order], uids[order]
@@ -230,7 +233,7 @@ def spread_docs(parts: int):
     return deal
 
 
-SETS = "uid long, doc_id long, n long, d1 long, d2 long, prefix array<long>, keys binary"
+SETS = "uid long, doc_id long, n long, d1 long, d2 long, prefix array<long>, keys binary, size long"
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -253,7 +256,7 @@ def ordered_sets(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     blobs = [keys[a : a + c].tobytes() if k > 0 else None for a, c, k in zip(at, count, take, strict=True)]
     ids = pd.array(docs["id"], dtype="Int64")
     ids[docs["null"] == 1] = pd.NA
-    return pd.DataFrame({"uid": docs["uid"], "doc_id": ids, "n": docs["n"], "d1": docs["d1"], "d2": docs["d2"], "prefix": prefixes, "keys": blobs})
+    return pd.DataFrame({"uid": docs["uid"], "doc_id": ids, "n": docs["n"], "d1": docs["d1"], "d2": docs["d2"], "prefix": prefixes, "keys": blobs, "size": 8 * count})
 
 
 class Trie:
@@ -381,6 +384,7 @@ def task_of(tasks: int) -> list[Column]:
 
 def joined_rows(docs: DataFrame) -> DataFrame:
     """(uid, doc_id, n, d1, d2, component, component_id) of rows (doc_id, text); no component for those without shingles."""
+    docs = settled(docs.select("doc_id", "text"), "documents")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // TEXT_A_PARTITION))
     counted = shingle_blocks(docs, parts).groupBy("part").applyInPandas(spread_docs(parts), BLOCKS)
@@ -392,16 +396,20 @@ def joined_rows(docs: DataFrame) -> DataFrame:
     least = prefixes.groupBy("token").agg(F.min("uid").alias("v"), F.count(F.lit(1)).alias("docs")).where("docs > 1").select("token", "v")
     groups = written(components(prefixes.join(least, "token").where("uid <> v").select(F.col("uid").alias("u"), "v")), "candidates")
 
-    blocks = groups.groupBy(F.col("component").alias("cand")).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    members = groups.select(F.col("id").alias("uid"), F.col("component").alias("cand")).join(sets.select("uid", "size"), "uid")
+    n_blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("size") / F.lit(BLOCK_BYTES)), F.lit(1)).cast("int")
+    blocks = members.groupBy("cand").agg(n_blocks.alias("blocks"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    blocks = written(blocks, "groups")
+    few = blocks.where("blocks = 1").agg(F.sum("n"), F.sum("size")).first()
+    tasks = max(1, -(-(few[0] or 0) // SETS_A_TASK), -(-(few[1] or 0) // BYTES_A_TASK))
     dealt = (
         groups.select(F.col("id").alias("uid"), F.col("component").alias("cand"))
-        .join(blocks, "cand")
+        .join(blocks.select("cand", "blocks"), "cand")
         .withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("cand", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "blocks", "uid")
         .join(sets.select("uid", "n", "keys"), "uid")
     )
-    tasks = max(1, -(-groups.count() // ROWS_A_TASK)) * 8
     links = dealt.select(*task_of(tasks), "*").groupBy("task", "own", "low", "high").applyInPandas(links_of_groups, "uid long, root long")
     joined = components(written(links, "links").select(F.col("uid").alias("u"), F.col("root").alias("v")))
 
@@ -435,7 +443,7 @@ def with_digests(docs: DataFrame) -> DataFrame:
             found = [pa.array(np.array(x, np.int64)) for x in ([len(s) for s in sets], both[:, 0], both[:, 1])]
             yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=["row", "key", "text", "n", "d1", "d2"])
 
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("key"), "text")
+    packed = docs.select(F.struct(*quoted(docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("key"), "text")
     schema = StructType([*packed.schema.fields, *(StructField(c, LongType()) for c in ("n", "d1", "d2"))])
     return packed.mapInArrow(digests, schema)
 
@@ -455,10 +463,10 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     if n <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     if not unclear:
-        return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(docs.columns)
+        return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(quoted(docs.columns))
     again = twice.select(F.col("doc_id").alias("again"))
     once = docs.where("doc_id IS NOT NULL").join(again, docs["doc_id"] == F.col("again"), "left_anti")
-    left = once.join(gone, once["doc_id"] == gone["gone"], "left_anti").select(docs.columns)
+    left = once.join(gone, once["doc_id"] == gone["gone"], "left_anti").select(quoted(docs.columns))
     # repeated and null ids: the first row of a component that has the component's id, known by its id and set
     least = found.where("n > 0").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     least = least.where("doc_id IS NULL").unionByName(least.join(twice, "doc_id", "left_semi").select(least.columns))

@@ -16,10 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    A temporary folder is set only where the session names none (local tests).
+    A temporary folder is set only where a local session names none; on a cluster executors wouldn't see it.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="surveyloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -35,3 +37,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself if it only reads files, else written: a task that is run again then finds the same rows in the same order.
+
+    Row numbers given by tasks rely on that.
+    """
+    return written(df, name) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
+def quoted(names: list[str]) -> list[str]:
+    """Column names as expressions, whatever characters they hold."""
+    return ["`" + n.replace("`", "``") + "`" for n in names]

@@ -15,16 +15,16 @@ from tokenizers import Tokenizer
 from surveyloom.llm import best_fit_packing as packing
 from surveyloom.llm import bpe, chat_format, embedding_dedup, ngram_join, packed_matrices, quality_rules, queries, repeat_removal, style_tree, token_ids, warc
 from surveyloom.llm.components import components
-from surveyloom.llm.tables import written
+from surveyloom.llm.tables import settled, written
 from tests.conftest import same_as_oracle
 from tests.llm import brute
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids string, n long, uid long"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids string, n long, uid long, `a.b` int, `row` int, `starts` int, `c0` int, `text_sha` string"
 
 
 def docs(spark, rows):
-    """Documents with further columns whose names clash with those the operators use inside."""
-    return spark.createDataFrame([(i, t, "en", "s", 0, "x", 5, 7) for i, t in rows], DOCS)
+    """Documents with further columns whose names clash with those the operators use inside, one with a dot."""
+    return spark.createDataFrame([(i, t, "en", "s", 0, "x", 5, 7, 1, 2, 3, 4, "y") for i, t in rows], DOCS)
 
 
 @pytest.fixture(scope="module")
@@ -389,6 +389,35 @@ def test_a_task_holds_one_pair_of_blocks(spark, monkeypatch):
     assert len(sizes.value) > 300 and all(n == 1 for n, _ in sizes.value) and max(k for _, k in sizes.value) < 60
 
 
+def test_blocks_of_long_sets_and_of_chains_are_bounded(spark, monkeypatch):
+    """A chain of sets, each like the next only, and long sets: blocks and tasks hold so many bytes, whatever the number of sets."""
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(ngram_join, "BYTES_A_TASK", 20_000)
+    sizes = spark.sparkContext.accumulator([], ListOf())
+    whole = ngram_join.links_of_groups
+
+    def links(key, rows):
+        sizes.add([(rows.groupby(["cand", "low", "high"]).ngroups, int(rows["keys"].map(len).sum()))])
+        return whole(key, rows)
+
+    monkeypatch.setattr(ngram_join, "links_of_groups", links)
+    rng = random.Random(16)
+    words = [f"w{k}" for k in range(1300)]
+    rows = [(i, " ".join(words[10 * i : 10 * i + 100])) for i in range(120)]
+    long = [f"v{k}" for k in range(900)]
+    rows += [(200 + i, " ".join([*long, f"own{i}"])) for i in range(12)] + [(300 + i, f"{rng.random()} b c d e f g") for i in range(30)]
+    check_join(spark, rows)
+    # two blocks of about 20,000 bytes, or the small groups of a task; the longest set has 7,200
+    assert len(sizes.value) > 10 and max(b for _, b in sizes.value) < 60_000
+
+
+def test_input_behind_a_shuffle_is_written_first(spark):
+    rows = docs(spark, [(1, "a b c d e f"), (2, "a b c d e f")])
+    assert settled(rows, "t") is rows
+    again = settled(rows.repartition(3, "doc_id"), "t")
+    assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString() and again.count() == 2
+
+
 def test_one_of_each_group_stays(spark):
     rows = edge_texts()
     left = ngram_join.keep_one_of_each(docs(spark, [*rows, (16, "a b c d e")]))
