@@ -41,17 +41,18 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from surveyloom.llm.blocks import mix, portions, ranges, runs, texts
 from surveyloom.llm.ngram_join import LETTER, TOKEN_BITS, from_six, powers, six
-from surveyloom.llm.tables import table, written
+from surveyloom.llm.tables import quoted, settled, table, written
 
 LENGTH, SEED = 100, 48
 LEFT = LENGTH - SEED
 #: Bytes of text handled at once; of text sent at once; bytes of text and of surroundings for each partition.
 PORTION, WINDOW, TEXT_A_PARTITION, SENT_A_PARTITION = 1 << 20, 1 << 24, 1 << 24, 1 << 23
-#: Bits of the filter that keeps texts without work from being moved: 8 MB, whatever the size of the corpus.
-FILTER_BITS = 1 << 26
+#: Bits for each key of the filter that keeps texts without work from being moved, and its least and largest size (64 MB).
+FILTER_BITS, LEAST_FILTER, LARGEST_FILTER = 16, 1 << 18, 1 << 29
 #: Spans gathered before they are united.
 SPANS_HELD = 1 << 18
 
@@ -189,8 +190,16 @@ def places_of_docs(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
 
 
 def likely(rows: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
-    """The rows whose ``key`` is in ``keys`` (one column "key"), and a few others: a bit map of fixed size is broadcast."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+    """The rows whose ``key`` is in ``keys`` (one column "key", a written table), and a few others.
+
+    A bit map sized by the number of keys is broadcast, up to ``LARGEST_FILTER`` bits. Beyond two bits a key at that size
+    (some 270 million keys) most rows would pass, so all do: the join that follows then moves all texts once.
+    """
+    n = keys.count()
+    bits = max(LEAST_FILTER, min(LARGEST_FILTER, 1 << (FILTER_BITS * max(1, n) - 1).bit_length()))
+    if bits < 2 * n:
+        return rows
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
     maps = keys.select(bit(F.col("key")).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
     at = F.bitmap_bit_position(bit(key))
     byte = F.conv(F.hex(F.substring(F.col("map"), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
@@ -400,6 +409,7 @@ def united(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, sha, is_first, n, n_removed, n_spans, starts, ends): one row per document, with the spans to remove (null: none or all)."""
+    docs = settled(docs.select("doc_id", "text"), "documents")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // TEXT_A_PARTITION))
     found = anchor_blocks(docs, parts).groupBy("part").applyInPandas(lambda k, g: repeated_anchors(k, g, parts), FOUND)
@@ -431,7 +441,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A text without spans isn't moved; a text that is removed whole is empty.
     """
     spans = written(repeated_spans(docs), "repeated")
-    some = spans.where("n_removed > 0 AND n_removed < n").dropDuplicates(["doc_id", "sha"])
+    some = written(spans.where("n_removed > 0 AND n_removed < n").dropDuplicates(["doc_id", "sha"]), "cut-texts")
     text = docs.select(F.col("doc_id").cast("long").alias("id"), "text").withColumn("text_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
     text = likely(text, some.select(F.col("sha").alias("key")), F.col("text_sha"))
     both = text.join(some, text["id"].eqNullSafe(some["doc_id"]) & (text["text_sha"] == some["sha"])).dropDuplicates(["doc_id", "sha"])
@@ -466,7 +476,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     found = written(repeated_spans(docs), "repeated")
     gone = found.where("n_removed > 0")
     # a first row without spans matters if rows equal to it go
-    copies = gone.where("NOT is_first").select(F.col("sha").alias("key"))
+    copies = written(gone.where("NOT is_first").select(F.col("sha").alias("key")).distinct(), "copied-texts")
     whole_first = likely(found.where((F.col("n") >= LENGTH) & F.expr("is_first AND n_removed = 0")), copies, F.col("sha"))
     first = F.max(F.when(F.col("is_first"), F.struct("n_removed", "starts", "ends"))).alias("first")
     spans = gone.unionByName(whole_first).groupBy("doc_id", "sha").agg(F.max("n").cast("int").alias("n"), F.count(F.lit(1)).alias("rows"), first)
@@ -478,12 +488,15 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     spans = written(spans.where("repeated OR starts IS NOT NULL"), "spans-of-rows")
     sha = F.sha2(F.coalesce("text", F.lit("")), 256)
     names = docs.columns
-    packed = docs.select("doc_id", F.struct(*docs.columns).alias("row"), sha.alias("text_sha"))
+    packed = docs.select("doc_id", F.struct(*quoted(names)).alias("row"), sha.alias("text_sha"))
     both = packed.join(spans, packed["doc_id"].cast("long").eqNullSafe(spans["key"]) & (packed["text_sha"] == spans["key_sha"]), "left")
+    both = both.select("row", "key", "key_sha", "repeated", "starts", "ends")
     if not spans.where("repeated").isEmpty():
         once = both.where("repeated").dropDuplicates(["key", "key_sha"])
         both = both.where("repeated IS NULL OR NOT repeated").unionByName(once)
-    wide = both.select("row.*", F.col("starts").alias(f"{'_'.join(names)}_starts"), F.col("ends").alias(f"{'_'.join(names)}_ends"))
+    # inside, columns go by numbers, so any names will do
+    wide = both.select(*[F.col("row")[n].alias(f"c{k}") for k, n in enumerate(names)], "starts", "ends")
+    plain = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema.fields)])
     at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -497,6 +510,6 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
                 out.append(text)
                 keep.append(not starts or bool(text))
             columns = [pa.array(out, pa.string()) if k == at else batch.column(k) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=plain.names).filter(pa.array(keep, pa.bool_()))
 
-    return wide.mapInArrow(cut, docs.schema)
+    return wide.mapInArrow(cut, plain).toDF(*names)
