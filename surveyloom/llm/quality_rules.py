@@ -120,4 +120,6 @@ def keep_good(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([judge(t.as_py(), squeeze)[6] for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(good, docs.schema)
+    # inside, columns go by numbers, so any names will do
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return plain.mapInArrow(good, plain.schema).toDF(*docs.columns)
