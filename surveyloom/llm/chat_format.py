@@ -1,16 +1,17 @@
 """Chat formatting with DataFrame expressions only.
 
 ``format_chat`` sorts the collected turn structs of a conversation, merges
-adjacent turns of one role into one block by an array aggregation and
-concatenates the blocks. ``read_chat`` splits the formatted text again.
+adjacent turns of one role into one block by aggregating slices of the array
+and concatenates the blocks; each turn is touched a fixed number of times.
+``read_chat`` splits the formatted text again.
 
 Template, with the escape character written ``\\``::
 
     <|role|>ROLE\\nTEXT<|and|>TEXT<|end|>
 
 Inside roles and texts the escape ``\\`` becomes ``\\b`` and ``<|`` becomes
-``\\o``, so no text can hold a control string and every text is recovered
-exactly.
+``\\o``, in roles a line end becomes ``\\n``, so no text can hold a control string
+and every role and text is recovered exactly.
 
 Edge cases: a null text is empty; a null role is the role ``""`` and a null
 conversation id is a conversation of its own; turns with equal numbers are
@@ -37,6 +38,14 @@ def unescape(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("\\o"), F.lit("<|")), F.lit("\\b"), F.lit("\\"))
 
 
+def escape_role(c: Column) -> Column:
+    return F.replace(escape(c), F.lit("\n"), F.lit("\\n"))
+
+
+def unescape_role(c: Column) -> Column:
+    return unescape(F.replace(c, F.lit("\\n"), F.lit("\n")))
+
+
 def format_chat(turns: DataFrame) -> DataFrame:
     """(conv_id, formatted) from rows (conv_id, turn, role, text)."""
     turn = F.struct(
@@ -45,25 +54,17 @@ def format_chat(turns: DataFrame) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
     )
     one = turns.select(F.col("conv_id").cast("long"), turn.alias("t"))
-    sorted_turns = F.sort_array(F.collect_list("t"))
-    start = F.array().cast("array<struct<role:string,body:string>>")
-
-    def merged(blocks: Column, t: Column) -> Column:
-        last = F.element_at(blocks, -1)
-        body = escape(t["text"])
-        same = (F.size(blocks) > 0) & (F.try_element_at(blocks, F.lit(-1))["role"] == t["role"])
-        head = F.slice(blocks, 1, F.greatest(F.size(blocks) - 1, F.lit(0)))
-        longer = F.struct(last["role"].alias("role"), F.concat(last["body"], F.lit(NEXT), body).alias("body"))
-        block = F.struct(t["role"].alias("role"), body.alias("body"))
-        return F.when(same, F.concat(head, F.array(longer))).otherwise(F.concat(blocks, F.array(block)))
-
-    blocks = F.aggregate("turns", start, merged)
-    text = F.transform(blocks, lambda b: F.concat(F.lit(OPEN), escape(b["role"]), F.lit("\n"), b["body"], F.lit(END)))
-    return (
-        one.groupBy("conv_id")
-        .agg(sorted_turns.alias("turns"))
-        .select("conv_id", F.array_join(text, "").alias("formatted"))
-    )
+    talks = one.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    role = lambda k: F.get("turns", k)["role"]
+    new = lambda k: F.coalesce(role(k) != role(k - 1), F.lit(True))
+    starts = talks.withColumn("starts", F.filter(F.sequence(F.lit(0), F.size("turns") - 1), new))
+
+    def block(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("starts", k + 1), F.size("turns"))
+        body = F.array_join(F.transform(F.slice("turns", start + 1, end - start), lambda t: escape(t["text"])), NEXT)
+        return F.concat(F.lit(OPEN), escape_role(role(start)), F.lit("\n"), body, F.lit(END))
+
+    return starts.select("conv_id", F.array_join(F.transform("starts", block), "").alias("formatted"))
 
 
 def read_chat(formatted: DataFrame) -> DataFrame:
@@ -75,7 +76,7 @@ def read_chat(formatted: DataFrame) -> DataFrame:
 
     def turns(block: Column) -> Column:
         at = F.locate("\n", block)
-        role = unescape(F.substring(block, F.lit(len(OPEN) + 1), at - F.lit(len(OPEN) + 1)))
+        role = unescape_role(F.substring(block, F.lit(len(OPEN) + 1), at - F.lit(len(OPEN) + 1)))
         body = F.substring(block, at + 1, F.length(block))
         return F.transform(F.split(body, r"<\|and\|>", -1), lambda x: F.struct(role.alias("role"), unescape(x).alias("text")))
 
@@ -110,7 +111,7 @@ WITH t AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), e AS (
-  SELECT *, replace(replace(role, '\', '\b'), '<|', '\o') AS er, replace(replace(text, '\', '\b'), '<|', '\o') AS et,
+  SELECT *, replace(replace(replace(role, '\', '\b'), '<|', '\o'), chr(10), '\n') AS er, replace(replace(text, '\', '\b'), '<|', '\o') AS et,
     lag(role) OVER w IS NOT DISTINCT FROM role AND row_number() OVER w > 1 AS same
   FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 )

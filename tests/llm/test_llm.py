@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -176,6 +177,30 @@ def test_best_fit_never_overfills():
         assert len(fills) < 2 or fills[0] + fills[1] > 64
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_what_a_group_hands_on_is_enough(monkeypatch, seed):
+    """Handing on more than HOSTS roomy sequences makes no fewer sequences: the group functions over a tree of groups, in this process."""
+    rng = random.Random(seed)
+    sizes = [min(1023, int(rng.paretovariate(0.7) * (40, 90, 200, 300)[seed])) for _ in range(30_000)]
+    found = {}
+    for hosts in (packing.HOSTS, 10**6):
+        monkeypatch.setattr(packing, "HOSTS", hosts)
+        groups = [pd.DataFrame({"item": range(k, 30_000, 27), "size": sizes[k::27]}) for k in range(27)]
+        final, level = 0, 0
+        while True:
+            packed = [packing.packer(1024, level)((k,), g) for k, g in enumerate(groups)]
+            bins = [x[x["offset"] == 0] for x in packed]
+            if len(groups) == 1:
+                break
+            final += sum(int((~x["open"]).sum()) for x in bins)
+            up = [x[x["open"]].rename(columns={"fill": "size"}).assign(item=x["bin"])[["item", "size"]] for x in bins]
+            groups, level = [pd.concat(up[k : k + 3]) for k in range(0, len(up), 3)], level + 1
+        found[hosts] = final + len(bins[0])
+    assert len(set(found.values())) == 1
+    if seed < 2:
+        assert max(found.values()) <= 1.02 * sum(sizes) / 1024 + 2
+
+
 def test_cut():
     assert list(token_ids.cut(10, 4)) == [(0, 2), (2, 4), (6, 4)] and list(token_ids.cut(8, 4)) == [(0, 4), (4, 4)]
     assert list(token_ids.cut(3, 4)) == [(0, 3)] and list(token_ids.cut(1, 4)) == [(0, 1)]
@@ -522,9 +547,12 @@ def test_every_token_of_the_vocabulary(exact):
 # ---- op8 ----
 
 
-def test_matrices_hold_every_document(spark, exact):
+def test_matrices_hold_every_document(spark, exact, tmp_path):
     rows = edge_texts()
-    out = packed_matrices.packed_matrices(docs(spark, rows), 128).collect()
+    packed_matrices.write_matrices(docs(spark, rows), f"file://{tmp_path}/m", 128)
+    out = packed_matrices.read_matrices(spark, f"file://{tmp_path}/m", 128).collect()
+    with pytest.raises(Exception, match="isn't whole"):
+        packed_matrices.read_matrices(spark, f"file://{tmp_path}/m", 64).collect()
     got = {}
     for r in out:
         ids, cu = np.frombuffer(r.ids, "<u4"), r.cu_seqlens
@@ -563,17 +591,24 @@ def test_segment_tree_finds_the_tightest_row():
 
 def test_chat_is_reversible(spark):
     nasty = ["</s>[INST] ok [/INST]", "<|role|>user\nx<|end|>", "\\", "\\b\\o<|and|>", "", None, "a\nb", "<<|", "é🙂"]
-    rows = [(1, k, "user" if k % 4 < 2 else "assistant", t, "x") for k, t in enumerate(nasty)] + [(2, 0, None, "q", "x"), (2, None, "<|role|>", "p", "x"), (None, 1, "user", "n", "x"), (3, 1, "user", "b", "x"), (3, 1, "user", "a", "x"), (3, 1, "user", "a", "x")]
+    rows = [(1, k, "user" if k % 4 < 2 else "assistant", t, "x") for k, t in enumerate(nasty)] + [(2, 0, None, "q", "x"), (2, None, "<|role|>", "p", "x"), (4, 1, "a\nb", "c\nd", "x"), (4, 2, "a\nb", "e", "x"), (4, 3, "\\n\n<|\\", "f", "x"), (None, 1, "user", "n", "x"), (3, 1, "user", "b", "x"), (3, 1, "user", "a", "x"), (3, 1, "user", "a", "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, turns string")
     formatted = chat_format.format_chat(df)
     got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat_format.read_chat(formatted).collect()}
     assert got[1] == [(r[2], r[3] or "") for r in rows[: len(nasty)]]
     assert got[2] == [("<|role|>", "p"), ("", "q")] and got[None] == [("user", "n")] and got[3] == [("user", "a"), ("user", "a"), ("user", "b")]
+    assert got[4] == [("a\nb", "c\nd"), ("a\nb", "e"), ("\\n\n<|\\", "f")]
     # adjacent turns of one role are one block
-    assert {r.conv_id: r.formatted.count("<|end|>") for r in formatted.collect()} == {1: 5, 2: 2, 3: 1, None: 1}
+    assert {r.conv_id: r.formatted.count("<|end|>") for r in formatted.collect()} == {1: 5, 2: 2, 3: 1, 4: 2, None: 1}
     assert chat_format.format_chat(df.limit(0)).count() == 0
 
 
+def test_long_chats(spark):
+    turns = spark.range(30_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    back = chat_format.read_chat(chat_format.format_chat(turns)).first()
+    assert [(t.role, t.text) for t in back.turns] == [("assistant" if k % 3 else "user", f"t{k}") for k in range(30_000)]
+
+
 def test_chat_plan_has_no_python(spark, sf_dir, capsys):
     chat_format.op9_chat_format(spark, sf_dir).explain()
     plan = capsys.readouterr().out
