@@ -10,6 +10,9 @@ Each output row is one matrix row: ``ids`` holds ``width`` little-endian
 unsigned 32-bit ids padded by ``PAD``; ``cu_seqlens`` the cumulative segment
 lengths from 0; ``position_resets`` the places where positions start again
 from 0 (the segments' starts, and that of the padding, if any).
+``write_matrices`` stores such rows below a path, ``read_matrices`` reads and
+checks them: the stored form is Parquet with a binary column of ids, so a
+training job maps a row's bytes as they are.
 
 Edge cases: a null text is an empty document and holds only the end mark;
 repeated rows are documents of their own; empty tables give empty results;
@@ -18,6 +21,7 @@ columns other than the id and the text are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm.tables import table
+from surveyloom.llm.tables import shared_dir, table
 from surveyloom.llm.token_ids import cut, document_ids
 
 WIDTH, PAD = 2048, 50256
@@ -134,5 +138,21 @@ def packed_matrices(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(packed, SCHEMA)
 
 
+def write_matrices(docs: DataFrame, path: str, width: int = WIDTH) -> None:
+    """Write the packed matrix rows of all documents below ``path``."""
+    packed_matrices(docs, width).write.option("compression", "zstd").parquet(path)
+
+
+def read_matrices(spark: SparkSession, path: str, width: int = WIDTH) -> DataFrame:
+    """The rows below ``path``; one that isn't whole (ids of another width, lengths that don't add up) is an error."""
+    rows = spark.read.schema(SCHEMA).parquet(path)
+    ends = F.element_at("cu_seqlens", -1)
+    whole = (F.octet_length("ids") == 4 * width) & (ends == F.col("n_tokens")) & (ends <= width) & (F.size("cu_seqlens") == F.col("n_segments") + 1) & (F.size("doc_ids") == F.col("n_segments"))
+    checked = F.when(whole, F.col("ids")).otherwise(F.raise_error(F.concat(F.lit("matrix row isn't whole: "), F.col("row_id").cast("string"))))
+    return rows.withColumn("ids", checked)
+
+
 def op8_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed_matrices(table(spark, sf_dir, "documents"))
+    path = f"{shared_dir(spark)}/matrices-{uuid.uuid4().hex}"
+    write_matrices(table(spark, sf_dir, "documents"), path)
+    return read_matrices(spark, path)
