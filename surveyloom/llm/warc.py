@@ -11,7 +11,7 @@ Reading. Records are parsed file by file in a stream. Segments are grouped by
 their origin's id, ordered by segment number and joined; numbers without a gap
 and the total length of the last segment are verified, then the chunk frames
 are taken off. A record that fails this is returned with ``complete`` false and
-no payload.
+no payload; an archive whose records don't follow each other is an error.
 
 Edge cases: a null html is an empty payload; a null url leaves the target out;
 a null id is an id like any other (its own ``page_id`` is null) and counts as
@@ -24,8 +24,6 @@ records; other columns are ignored.
 
 from __future__ import annotations
 
-import gzip
-import io
 import re
 import uuid
 from collections.abc import Iterator
@@ -41,6 +39,8 @@ SEGMENT, CHUNK, RECORDS_A_FILE = 32_768, 8_192, 10_000
 #: Bytes of records that Python hands over at once; pages handed on at once; marked pages that are broadcast (150 bytes each).
 HANDED, PAGES, BROADCAST_MARKS = 1 << 22, 500, 50_000
 VERSION, DATE = "WARC/1.1", "2024-01-01T00:00:00Z"
+#: What all versions' records begin with.
+START = b"WARC/1."
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 BETWEEN = "\r\n\r\n"
@@ -162,24 +162,69 @@ def write_warc(pages: DataFrame, path: str) -> None:
     out.select(F.col("value").cast("string")).write.option("lineSep", BETWEEN).option("maxRecordsPerFile", RECORDS_A_FILE).option("compression", "gzip").text(path)
 
 
-def parsed(stream) -> Iterator[tuple]:
-    """Records of one archive."""
-    while line := stream.readline():
-        if line.strip() != VERSION.encode():
-            if line.strip():
-                raise ValueError(f"no record begins with {line[:40]!r}")
+def record_row(head: list[bytes], block: bytes) -> tuple:
+    """A record from its header lines (without the version) and its block."""
+    fields: dict[str, str] = {}
+    for line in head:
+        k, _, v = line.decode("utf-8", "replace").partition(":")
+        fields[k.strip().lower()] = v.strip()
+    get = fields.get
+    digest, segment, total = get("warc-payload-digest"), get("warc-segment-number"), get("warc-segment-total-length")
+    return (
+        get("warc-record-id"), get("warc-type"), get("warc-target-uri"), digest and digest.rpartition(":")[2], get("warc-refers-to"),
+        get("warc-segment-origin-id"), segment and int(segment), total and int(total), block,
+    )
+
+
+def content_length(head: bytes) -> int:
+    found = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", head.replace(b"\r", b""))
+    if not found:
+        raise ValueError(f"a record has no Content-Length: {head[:80]!r}")
+    return int(found[1])
+
+
+def parsed(raw: bytes) -> Iterator[tuple]:
+    """Records of one uncompressed archive."""
+    at = 0
+    while at < len(raw):
+        if raw[at : at + len(START)] != START:
+            if raw[at : at + 1].strip():
+                raise ValueError(f"no record begins with {raw[at : at + 40]!r}")
+            at += 1
             continue
-        fields: dict[str, str] = {}
-        while (line := stream.readline().rstrip(b"\r\n")) != b"":
-            k, _, v = line.decode("utf-8", "replace").partition(":")
-            fields[k.strip().lower()] = v.strip()
-        block = stream.read(int(fields["content-length"]))
-        get = fields.get
-        digest, segment, total = get("warc-payload-digest"), get("warc-segment-number"), get("warc-segment-total-length")
-        yield (
-            get("warc-record-id"), get("warc-type"), get("warc-target-uri"), digest and digest.rpartition(":")[2], get("warc-refers-to"),
-            get("warc-segment-origin-id"), segment and int(segment), total and int(total), block,
-        )
+        end = raw.index(b"\r\n\r\n", at)
+        size = content_length(raw[at:end])
+        yield record_row(raw[at:end].split(b"\r\n")[1:], raw[end + 4 : end + 4 + size])
+        at = end + 4 + size
+
+
+def streamed(pieces: Iterator[tuple[str, bytes]]) -> Iterator[tuple]:
+    """Records of (file, piece) rows: what stands between two ``START`` in a file, in its order. Blocks that hold that text are put together again."""
+    file, held, need = None, None, None
+    for path, piece in pieces:
+        if path != file:
+            if held is not None:
+                raise ValueError(f"{file} ends within a record")
+            if piece.strip():
+                raise ValueError(f"no record begins with {piece[:40]!r} in {path}")
+            file = path
+            continue
+        if held is None:
+            held, need = bytearray(piece), None
+        else:
+            held += START
+            held += piece
+        end = held.find(b"\r\n\r\n") if need is None else need[0]
+        if end < 0:
+            continue
+        need = need or (end, end + 4 + content_length(bytes(held[:end])))
+        if len(held) >= need[1]:
+            if held[need[1] :].strip():
+                raise ValueError(f"a record of {path} is longer than it says")
+            yield record_row(bytes(held[:end]).split(b"\r\n")[1:], bytes(held[end + 4 : need[1]]))
+            held = None
+    if held is not None:
+        raise ValueError(f"{file} ends within a record")
 
 
 def whole_block(blocks: list[dict], total: int | None) -> bytes | None:
@@ -191,28 +236,31 @@ def whole_block(blocks: list[dict], total: int | None) -> bytes | None:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per response and revisit record below ``path``, with the payload of responses."""
+    """One row per response and revisit record below ``path``, with the payload of responses.
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.strip().split()[0] for x in RECORD.split(",")]
-        text = [pa.string()] * 6
-        types = [*text, pa.int32(), pa.int64(), pa.binary()]
-
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
-
-        for batch in batches:
-            for content in batch.column(0):
-                rows, held = [], 0
-                raw = content.as_py()
-                for x in parsed(gzip.GzipFile(fileobj=io.BytesIO(raw)) if raw[:2] == b"\x1f\x8b" else io.BytesIO(raw)):
-                    rows.append(x)
-                    held += len(x[-1])
-                    if held > HANDED:
-                        yield out(rows)
-                        rows, held = [], 0
-                if rows:
-                    yield out(rows)
+    Files named ``*.gz`` are streamed, whatever their size. Files named ``*.warc`` aren't compressed and are read whole: each
+    must fit in a task.
+    """
+
+    names = [x.strip().split()[0] for x in RECORD.split(",")]
+    types = [*[pa.string()] * 6, pa.int32(), pa.int64(), pa.binary()]
+
+    def handed(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        for x in rows:
+            out.append(x)
+            held += len(x[-1])
+            if held > HANDED:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+                out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+    def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from handed(streamed((p.as_py(), v.as_py()) for batch in batches for p, v in zip(*batch.columns, strict=True)))
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from handed(x for batch in batches for v in batch.column(0) for x in parsed(v.as_py()))
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.strip().split()[0] for x in PAGE.split(",")]
@@ -226,8 +274,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             complete, payload = zip(*payloads, strict=True) if payloads else ((), ())
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(complete, pa.bool_()), pa.array(payload, pa.binary())], names=names)
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    found = files.where(F.col("length") > 0).select("content").mapInArrow(records, RECORD)
+    # gzip files are not split, so a task reads each from front to back, a piece at a time
+    own = {"recursiveFileLookup": "true"}
+    pieces = spark.read.options(**own, pathGlobFilter="*.gz", lineSep=START.decode()).text(path)
+    found = pieces.select(F.col("_metadata.file_path"), F.col("value").cast("binary")).mapInArrow(compressed, RECORD)
+    files = spark.read.format("binaryFile").options(**own, pathGlobFilter="*.warc").load(path)
+    found = found.unionByName(files.where(F.col("length") > 0).select("content").mapInArrow(plain, RECORD))
     head = ["record_id", "record_type", "target_uri", "payload_digest", "refers_to"]
     part = F.struct("segment", "block")
     single = found.where("segment IS NULL").select(*head, F.array(part).alias("segments"), "total_length")
@@ -259,12 +311,14 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = """
 WITH p AS (
-  SELECT DISTINCT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest FROM pages
-), f AS (
-  SELECT digest, min(page_id) AS first FROM p WHERE octet_length(encode(html)) >= 100 GROUP BY digest
+  SELECT page_id, url, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest FROM pages
+), q AS (
+  SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+    first_value(page_id) OVER w AS first, row_number() OVER w = 1 AS is_first
+  FROM p WINDOW w AS (PARTITION BY digest ORDER BY page_id NULLS LAST, url NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 )
-SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, digest AS payload_digest,
-  CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN first IS NOT NULL AND page_id <> first THEN first END AS refers_to
-FROM p LEFT JOIN f USING (digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes < 100 OR is_first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND NOT is_first THEN first END AS refers_to
+FROM q
 """

@@ -261,6 +261,36 @@ def test_warc_has_a_record_for_each_row(spark, tmp_path):
     assert {r.target_uri for r in responses if r.payload_digest == sha(large)} == {"http://a"}
 
 
+def test_repeated_pages_match_duckdb(spark, tmp_path):
+    import duckdb
+
+    large = "z" * 40_000
+    rows = [(5, "http://b", large), (5, "http://a", large), (5, "http://a", large), (3, None, large), (7, "u", None), (7, "u", None), (8, "v", "s" * 99), (9, "v", "s" * 99), (6, "w", "q" * 300)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"file://{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    same_as_oracle(spark, con, f"file://{tmp_path}", "op3", warc.op3_warc, warc.OP3_SQL)
+
+
+def test_warc_reads_other_archives(spark, tmp_path):
+    """Version 1.0, a gzip member for each record, blocks that hold the start of a record, uncompressed files; broken ones are errors."""
+    import gzip
+
+    block = b"HTTP/1.0 200 OK\r\n\r\nWARC/1.1\r\nWARC/1.0\r\n\r\nWARC/1.\xff"
+    one = lambda k, v="0": b"WARC/1.%b\r\nWARC-Type: response\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (v.encode(), k, len(block), block)
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc.gz").write_bytes(b"".join(gzip.compress(one(k)) for k in range(50)))
+    (tmp_path / "w" / "b.warc.gz").write_bytes(gzip.compress(one(50, "1") + one(51)))
+    (tmp_path / "w" / "c.warc").write_bytes(one(52) + one(53, "1"))
+    (tmp_path / "w" / "notes.txt").write_bytes(b"not an archive")
+    got = warc.read_warc(spark, f"file://{tmp_path}/w").collect()
+    assert sorted(r.record_id for r in got) == sorted(f"<{k}>" for k in range(54))
+    assert {bytes(r.payload) for r in got} == {block.partition(b"\r\n\r\n")[2]}
+    (tmp_path / "x.warc.gz").write_bytes(gzip.compress(one(1)[:-30]))
+    with pytest.raises(Exception, match="ends within a record"):
+        warc.read_warc(spark, f"file://{tmp_path}/x.warc.gz").collect()
+
+
 def test_warc_segments_are_checked():
     block = b"H\r\n\r\nbody"
     part = lambda k, b: {"segment": k, "block": b}
