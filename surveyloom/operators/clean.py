@@ -115,9 +115,14 @@ def projected(df: DataFrame, cols: dict[str, Column], extra: dict[str, Column])
     return df.select("cache_id", *own, *[x.alias(f"recoded_{c}") for c, x in extra.items()])
 
 
+def row_order(columns: list[str], kind: str) -> list[str]:
+    """Keys of the rows' order: the reporting level where there is one, then those of the kind. Spelt out in full, since no sort keeps an earlier one."""
+    return [*(["reporting_level"] if "reporting_level" in columns else []), *SORT_KEYS[checked_kind(kind)]]
+
+
 def sort_rows(df: DataFrame, kind: str) -> DataFrame:
-    """Rows in the order of their kind; for the sink only, since it is a global sort."""
-    return df.orderBy(*SORT_KEYS[checked_kind(kind)])
+    """All rows in the order of their kind: a global sort, for a result that is read from front to back."""
+    return df.orderBy(*row_order(df.columns, kind))
 
 
 def clean(df: DataFrame, kind: str, keep_extra: bool = False) -> DataFrame:

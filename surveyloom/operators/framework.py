@@ -34,13 +34,27 @@ def with_alternatives(framework: DataFrame) -> DataFrame:
 
 def with_cache_id(framework: DataFrame) -> DataFrame:
     """Adds ``wt`` and ``cache_id``; ``module`` comes from the survey data."""
-    module = F.coalesce(F.col("module"), F.lit(""))
+    return with_cache_prefix(framework).withColumn("cache_id", cache_id(F.col("cache_prefix"), F.col("module"))).drop("cache_prefix")
+
+
+def with_cache_prefix(framework: DataFrame) -> DataFrame:
+    """Adds ``wt`` and all of the cache id that doesn't depend on the data's module."""
     return framework.withColumn("wt", short_type(F.col("welfare_type"))).withColumn(
-        "cache_id",
-        paste_na(F.col("country_code"), plain_number(F.col("surveyid_year")), F.col("survey_acronym"), F.concat(F.lit("D"), F.coalesce("reporting_level", F.lit("NA"))), F.col("wt"), module),
+        "cache_prefix",
+        paste_na(F.col("country_code"), plain_number(F.col("surveyid_year")), F.col("survey_acronym"), F.concat(F.lit("D"), F.coalesce("reporting_level", F.lit("NA"))), F.col("wt")),
     )
 
 
+def cache_id(prefix: Column, module: Column) -> Column:
+    return F.concat(prefix, F.lit("_"), F.coalesce(module, F.lit("")))
+
+
+def all_frameworks(pfw: DataFrame, alternatives: bool = True) -> DataFrame:
+    """Framework rows of all surveys in use, with ``cache_prefix``: they meet the survey rows without a look at these first."""
+    rows = reporting_level(pfw).drop("module")
+    return with_cache_prefix(with_alternatives(rows) if alternatives else rows.withColumn("is_alt_welf", F.lit(False)))
+
+
 def survey_framework(surveys: DataFrame, pfw: DataFrame, alternatives: bool = True, validate: bool = True) -> DataFrame:
     """Framework rows of the surveys found in ``surveys`` (any table with the survey key and, if known, ``module``).
 

@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.nulls import join_nullsafe
 from surveyloom.functions.schema import SURVEY_KEY
+from surveyloom.operators.framework import cache_id
 
 PREFIX = "fw_"
 
 
 def with_framework(df: DataFrame, framework: DataFrame) -> DataFrame:
-    """Survey rows with ``cache_id`` and the framework's values in columns with the prefix ``fw_``."""
+    """Survey rows with ``cache_id`` and the framework's values in columns with the prefix ``fw_``.
+
+    ``framework`` is that of the surveys (``survey_framework``) or of all surveys (``all_frameworks``).
+    """
     own = framework.withColumnsRenamed({c: PREFIX + c for c in framework.columns if c != "cache_id"})
     keys = {k: PREFIX + k for k in SURVEY_KEY}
+    if "cache_prefix" in framework.columns:
+        module = F.col("module") if "module" in df.columns else F.lit(None)
+        found = join_nullsafe(df, own, keys, "inner")
+        return found.withColumn("cache_id", cache_id(F.col(PREFIX + "cache_prefix"), module)).drop(PREFIX + "cache_prefix")
     if "module" in df.columns:
         keys["module"] = PREFIX + "module"
     return join_nullsafe(df, own, keys, "inner")

@@ -7,6 +7,7 @@ The SQL is common to Spark and DuckDB. ``view`` gives a Spark DataFrame,
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,8 +73,14 @@ def needs(name: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", VIEWS[name])))
 
 
+@lru_cache(64)
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """A driver table; its schema is looked up once a session."""
+    return spark.read.parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tables = {n: view(spark, sf_dir, n) if n in VIEWS else spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in needs(name)}
+    tables = {n: view(spark, sf_dir, n) if n in VIEWS else table(spark, f"{sf_dir}/{n}.parquet") for n in needs(name)}
     return spark.sql(VIEWS[name], **tables)
 
 

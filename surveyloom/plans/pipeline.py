@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from surveyloom.functions.schema import KINDS
 from surveyloom.operators.clean import clean
 from surveyloom.operators.enrich import add_survey_vars
-from surveyloom.operators.framework import survey_framework
+from surveyloom.operators.framework import all_frameworks, survey_framework
 from surveyloom.operators.split import split_alt_welfare, with_framework
 from surveyloom.operators.validity import validity_clean
 from surveyloom.sources.surveys import rename_raw
@@ -22,7 +22,9 @@ def process_data(df: DataFrame, pfw: DataFrame, kind: str, validate: bool = True
     if kind not in KINDS:
         log.warning("no method for kind %r; the data is returned unchanged", kind)
         return df
-    rows = with_framework(df, survey_framework(df, pfw, alternatives=False, validate=validate))
+    if validate:
+        survey_framework(df, pfw, alternatives=False)
+    rows = with_framework(df, all_frameworks(pfw, alternatives=False))
     return validity_clean(clean(rows, kind), kind)
 
 
@@ -32,5 +34,7 @@ def full_chain(
 ) -> DataFrame:
     """Framework, split, cleaning, validity and enrichment of any number of surveys of one kind."""
     df = rename_raw(df) if apply_rename_map else df
-    rows = split_alt_welfare(df, survey_framework(df, pfw, validate=validate))
-    return add_survey_vars(validity_clean(clean(rows, kind), kind), cpi, ppp, pop, kind, versions)
+    if validate:
+        survey_framework(df, pfw)
+    rows = split_alt_welfare(df, all_frameworks(pfw))
+    return add_survey_vars(validity_clean(clean(rows, kind), kind), cpi, ppp, pop, kind, versions, validate)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.nulls import count_distinct_na
@@ -13,7 +13,8 @@ from surveyloom.functions.schema import CLEAN_COLUMNS, CLEAN_TYPES, DATA_LEVELS,
 from surveyloom.operators import checks, clean, enrich, framework, population, profile, split, validity
 from surveyloom.plans import pipeline
 from surveyloom.plans.adapters import ctes, view
-from surveyloom.sources import inventory
+from surveyloom.sources import inventory, surveys
+from surveyloom.sources.config import Locations, scratch
 
 FLAGSHIP = "welfare_ppp"
 #: Versions of the PPP adapter; naming them saves the job that finds them.
@@ -56,12 +57,12 @@ def micro_framework(spark: SparkSession, d: str) -> DataFrame:
 
 
 def micro_rows(spark: SparkSession, d: str) -> DataFrame:
-    return split.split_alt_welfare(micro(spark, d), micro_framework(spark, d))
+    return split.split_alt_welfare(micro(spark, d), framework.all_frameworks(pfw(spark, d)))
 
 
 def group_rows(spark: SparkSession, d: str) -> DataFrame:
     gd = view(spark, d, "gd").drop("bin")
-    return split.with_framework(gd, framework.survey_framework(gd, pfw(spark, d), alternatives=False, validate=False))
+    return split.with_framework(gd, framework.all_frameworks(pfw(spark, d), alternatives=False))
 
 
 # ---- DuckDB building blocks ----
@@ -363,7 +364,7 @@ def _priced(spark, d):
 
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
-        return enrich.with_prices(clean.clean_micro(micro_rows(spark, d)), view(spark, d, "cpi"), view(spark, d, "ppp"), VERSIONS)
+        return enrich.with_prices(clean.clean_micro(micro_rows(spark, d)), view(spark, d, "cpi"), view(spark, d, "ppp"), VERSIONS, validate=False)
 
 
 _ID = ["cache_id", "hhid", "pid"]
@@ -442,9 +443,128 @@ def inventory_clean(spark, d):
     return df.select("fullname", stamp("creationtime"), stamp("lastwritetime"), "segment", "survey_id", "country_code", "surveyid_year", "survey_acronym", "vermast", "veralt", "module")
 
 
-@query("inventory_digest")
+@query("inventory_digest", "SELECT true AS same_in_another_order, true AS differs_without_a_row, true AS differs_in_a_cell")
 def inventory_digest(spark, d):
-    return spark.createDataFrame([(inventory.digest(_inventory(spark, d)),)], "digest string")
+    df = _inventory(spark, d)
+    own = inventory.digest(df)
+    one = df.select(F.max("fullname")).first()[0]
+    others = df.orderBy(F.desc("fullname")), df.where(F.col("fullname") != one), df.withColumn("veralt", F.when(F.col("fullname") == one, "V99").otherwise(F.col("veralt")))
+    same, fewer, changed = (inventory.digest(x) for x in others)
+    return spark.createDataFrame([(same == own, fewer != own, changed != own)], "same_in_another_order boolean, differs_without_a_row boolean, differs_in_a_cell boolean")
+
+
+def _written_csv(spark, d, path):
+    view(spark, d, "inv").write.option("header", True).csv(path)
+    return path
+
+
+@query("inventory_read", ctes("inv") + " SELECT FullName AS fullname, CreationTime AS creationtime, LastWriteTime AS lastwritetime, Segment AS segment FROM inv")
+def inventory_read(spark, d):
+    return inventory.read_inventory(spark, _written_csv(spark, d, scratch(spark, "inventory-csv")))
+
+
+@query("inventory_update", ORACLES["inventory_clean"])
+def inventory_update(spark, d):
+    raw = scratch(spark, "raw")
+    at = Locations.of("/share/", raw)
+    _written_csv(spark, d, at.inventory_file)
+    if [inventory.update_inventory(spark, at.inventory_file, at.inventory_table, "/share/") for _ in range(2)] != [True, False]:
+        raise checks.SurveyError("an inventory is saved once unless it changes")
+    df = spark.read.parquet(at.inventory_table)
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return df.select("fullname", stamp("creationtime"), stamp("lastwritetime"), "segment", "survey_id", "country_code", "surveyid_year", "survey_acronym", "vermast", "veralt", "module")
+
+
+_ORDER = ", ".join(inventory.ORDER)
+
+
+@query("inventory_order", f"WITH keys AS (SELECT DISTINCT {_ORDER} FROM ({ORACLES['inventory_clean']})) SELECT {_ORDER}, row_number() OVER (ORDER BY {_ORDER}) AS place FROM keys")
+def inventory_order(spark, d):
+    placed = _inventory(spark, d).orderBy(*inventory.ORDER).withColumn("at", F.monotonically_increasing_id())
+    return placed.groupBy(*inventory.ORDER).agg(F.min("at").alias("at")).withColumn("place", F.row_number().over(Window.orderBy("at")).cast("long")).drop("at")
+
+
+_STAMP = "concat(CAST(1 + c_custkey % 12 AS VARCHAR(20)), {s}, CAST(1 + c_custkey % 28 AS VARCHAR(20)), {s}, {y}, ' ', CAST({h} AS VARCHAR(20)), ':07:', CAST(10 + c_custkey % 50 AS VARCHAR(20)){m})"
+_YEAR, _HOUR = "CAST(1990 + c_custkey % 40 AS VARCHAR(20))", "c_custkey % 24"
+_STAMPS = f"""SELECT c_custkey, CASE c_custkey % 5
+  WHEN 0 THEN {_STAMP.format(s="'/'", y=_YEAR, h="1 + c_custkey % 12", m=", CASE WHEN c_custkey % 2 = 0 THEN ' AM' ELSE ' PM' END")}
+  WHEN 1 THEN {_STAMP.format(s="'/'", y=_YEAR, h=_HOUR, m="")} WHEN 2 THEN {_STAMP.format(s="'-'", y=_YEAR, h=_HOUR, m="")}
+  WHEN 3 THEN {_STAMP.format(s="'/'", y="CAST(10 + c_custkey % 20 AS VARCHAR(20))", h=_HOUR, m="")} ELSE 'some day' END AS stamp FROM """
+
+
+@query(
+    "inventory_times",
+    f"SELECT c_custkey, strftime(coalesce(try_strptime(stamp, '%m/%d/%Y %I:%M:%S %p'), CASE WHEN length(split_part(split_part(stamp, ' ', 1), '/', 3)) = 4 THEN try_strptime(stamp, '%m/%d/%Y %H:%M:%S') END,"
+    f" try_strptime(stamp, '%m-%d-%Y %H:%M:%S'), try_strptime(stamp, '%m/%d/%y %H:%M:%S')), '%Y-%m-%d %H:%M:%S') AS parsed FROM ({_STAMPS} customer)",
+)
+def inventory_times(spark, d):
+    stamps = spark.sql(_STAMPS + "{customer}", customer=spark.read.parquet(f"{d}/customer.parquet"))
+    return stamps.select("c_custkey", F.date_format(inventory.month_first_time(F.col("stamp")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
+# ---- sources and sinks ----
+
+
+@query("load_surveys", ctes("md") + " SELECT country_code, surveyid_year, hhid, pid, welfare FROM md WHERE country_code IN ('NATION_1', 'NATION_5') AND surveyid_year = 1997")
+def load_surveys(spark, d):
+    path = scratch(spark, "surveys")
+    micro(spark, d).write.partitionBy("country_code", "surveyid_year").parquet(path)
+    return surveys.load_surveys(spark, path, ["NATION_1", "NATION_5"], 1997.0).select("country_code", F.col("surveyid_year").cast("double").alias("surveyid_year"), "hhid", "pid", "welfare")
+
+
+@query("load_auxiliary", ctes("ppp") + " SELECT country_code, ppp_data_level, ppp_year, release_version, adaptation_version, round(ppp, 4) AS ppp FROM ppp")
+def load_auxiliary(spark, d):
+    folder = scratch(spark, "auxiliary")
+    view(spark, d, "ppp").write.parquet(f"{folder}/ppp.parquet")
+    return rounded(surveys.load_auxiliary(spark, folder, "ppp"))
+
+
+@query("save_if_changed", "SELECT * FROM (VALUES (1, true), (2, false), (3, true), (4, true), (5, false)) AS t(step, was_written)")
+def save_if_changed(spark, d):
+    path, df = scratch(spark, "saved"), spark.read.parquet(f"{d}/nation.parquet")
+    changed = df.where("n_nationkey > 0")
+    steps = [(df, False), (df.orderBy(F.desc("n_name")), False), (changed, False), (changed, True), (changed, False)]
+    return spark.createDataFrame([(k, inventory.save_if_changed(x, path, force)) for k, (x, force) in enumerate(steps, 1)], "step int, was_written boolean")
+
+
+@query("bundled_columns", "SELECT * FROM (VALUES " + ", ".join(f"({k}, '{c}', '{t}')" for k, (c, t) in enumerate(CLEAN_TYPES.items(), 1)) + ") AS t(place, variable, type)")
+def bundled_columns(spark, d):
+    with open(surveys.bundled("clean_columns.csv"), encoding="utf-8") as f:
+        rows = [line.strip().split(",") for line in f][1:]
+    return spark.createDataFrame([(k, *r) for k, r in enumerate(rows, 1)], "place int, variable string, type string")
+
+
+@query("process_data_default", "SELECT r_regionkey, r_name FROM region")
+def process_data_default(spark, d):
+    return pipeline.process_data(spark.read.parquet(f"{d}/region.parquet").select("r_regionkey", "r_name"), pfw(spark, d), "other")
+
+
+# ---- row order ----
+
+
+def _placed(df: DataFrame, kind: str, *columns: str) -> DataFrame:
+    """Places of the rows of each survey in the order of ``sort_rows``."""
+    own = Window.partitionBy("cache_id").orderBy("at")
+    return clean.sort_rows(df, kind).withColumn("at", F.monotonically_increasing_id()).select("cache_id", *columns, F.row_number().over(own).cast("long").alias("place"))
+
+
+_PLACE = "row_number() OVER (PARTITION BY cache_id ORDER BY {keys}) AS place"
+_MICRO_KEYS = "country_code NULLS FIRST, surveyid_year NULLS FIRST, welfare NULLS FIRST, hhid NULLS FIRST, pid NULLS FIRST"
+
+
+@query("row_order_micro", SQL_MICRO + f" SELECT cache_id, hhid, pid, {_PLACE.format(keys=_MICRO_KEYS)} FROM clean")
+def row_order_micro(spark, d):
+    return _placed(clean.clean_micro(micro_rows(spark, d)), "micro", "hhid", "pid")
+
+
+@query("row_order_group", SQL_GROUP + f" SELECT cache_id, area, round(weight, 4) AS weight, {_PLACE.format(keys='country_code NULLS FIRST, surveyid_year NULLS FIRST, area NULLS FIRST, welfare NULLS FIRST')} FROM clean")
+def row_order_group(spark, d):
+    return rounded(_placed(clean.clean_group(group_rows(spark, d)), "group", "area", "weight"))
+
+
+@query("row_order_reporting", SQL_MICRO + _RANKS.format(source="clean") + f" SELECT cache_id, reporting_level, hhid, pid, {_PLACE.format(keys='reporting_level NULLS FIRST, ' + _MICRO_KEYS)} FROM levelled")
+def row_order_reporting(spark, d):
+    return _placed(enrich.with_reporting_level(clean.clean_micro(micro_rows(spark, d)), "micro"), "micro", "reporting_level", "hhid", "pid")
 
 
 # ---- pipelines ----

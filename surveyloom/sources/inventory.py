@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.schema import MODULES, SURVEY_ID_PARTS
 from surveyloom.operators.checks import SurveyError, require_columns
+from surveyloom.sources.config import Locations
 
 #: Layouts of time stamps, month first.
 TIME_FORMATS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M-d-yyyy H:mm:ss", "M/d/yy H:mm:ss")
@@ -82,3 +83,9 @@ def save_if_changed(df: DataFrame, path: str, force: bool = False) -> bool:
 def update_inventory(spark: SparkSession, inventory_csv: str, out_path: str, root_dir: str = "", force: bool = False) -> bool:
     """Read, normalise, sort and save the inventory; whether it had changed."""
     return save_if_changed(clean_inventory(read_inventory(spark, inventory_csv), root_dir).orderBy(*ORDER), out_path, force)
+
+
+def update_survey_inventory(spark: SparkSession, root: str | None = None, raw: str | None = None, force: bool = False) -> bool:
+    """``update_inventory`` of the file and table below a root; the root is also what is taken off the paths."""
+    at = Locations.of(root, raw)
+    return update_inventory(spark, at.inventory_file, at.inventory_table, at.root, force)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.schema import RAW_NAMES
 from surveyloom.operators.checks import SurveyError
+from surveyloom.operators.clean import row_order
 
 AUXILIARY = ("pfw", "cpi", "ppp", "pop")
 
@@ -28,9 +29,15 @@ def load_auxiliary(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def write_surveys(df: DataFrame, path: str) -> None:
-    """Harmonised rows in a folder per survey, rows of a survey together, large surveys split over several tasks."""
-    df.hint("rebalance", "cache_id").write.mode("overwrite").partitionBy("cache_id").parquet(path)
+def write_surveys(df: DataFrame, path: str, kind: str | None = None) -> None:
+    """Harmonised rows in a folder per survey, rows of a survey together, large surveys split over several tasks.
+
+    With ``kind`` the rows of each file stand in the order of their kind, without a global sort.
+    """
+    rows = df.hint("rebalance", "cache_id")
+    if kind is not None:
+        rows = rows.sortWithinPartitions("cache_id", *row_order(df.columns, kind))
+    rows.write.mode("overwrite").partitionBy("cache_id").parquet(path)
 
 
 def rename_raw(df: DataFrame) -> DataFrame:

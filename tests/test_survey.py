@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveyloom.functions import nulls
-from surveyloom.functions.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, DATA_LEVELS, SURVEY_KEY
+from surveyloom.functions.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, CLEAN_TYPES, DATA_LEVELS, RAW_NAMES, SURVEY_KEY
 from surveyloom.operators import checks, clean, enrich, framework, population, profile, split, validity
 from surveyloom.plans import pipeline
 from surveyloom.plans.adapters import view
 from surveyloom.plans.results import captured
 from surveyloom.sources import inventory, surveys
+from surveyloom.sources.config import Locations
 
 PFW = (
     "country_code string, surveyid_year double, survey_acronym string, survey_year double, cpi_domain int, ppp_domain int, gdp_domain int, pce_domain int, pop_domain int,"
@@ -249,7 +250,8 @@ def test_sources(spark, tmp_path):
     with pytest.raises(checks.SurveyError):
         surveys.load_auxiliary(spark, str(tmp_path), "other")
     assert surveys.bundled() == ["clean_columns.csv", "raw_names.csv"]
-    assert open(surveys.bundled("clean_columns.csv")).readline() == "variable,type\n"
+    assert [x.strip() for x in open(surveys.bundled("clean_columns.csv"))][1:] == [f"{c},{t}" for c, t in CLEAN_TYPES.items()]
+    assert [x.strip() for x in open(surveys.bundled("raw_names.csv"))][1:] == [f"{a},{b}" for a, b in RAW_NAMES.items()]
     raw = spark.createDataFrame([("AAA", 1)], "countrycode string, sim int")
     assert surveys.rename_raw(raw).columns == ["country_code", "imputation_id"]
 
@@ -263,3 +265,59 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, capsys):
 
 def test_key_is_the_survey_key():
     assert SURVEY_KEY == ["country_code", "surveyid_year", "survey_acronym"]
+
+
+def test_locations(spark, tmp_path, monkeypatch):
+    monkeypatch.delenv("SURVEYLOOM_ROOT", raising=False)
+    with pytest.raises(checks.SurveyError):
+        Locations.of()
+    monkeypatch.setenv("SURVEYLOOM_ROOT", f"{tmp_path}/")
+    at = Locations.of()
+    assert at.inventory_file == f"{tmp_path}/raw/_Inventory/DLWRAW_all_DTAs.csv" and Locations.of(raw="s3a://x/y/").inventory_folder == "s3a://x/y/_Inventory"
+    (tmp_path / "raw" / "_Inventory").mkdir(parents=True)
+    (tmp_path / "raw" / "_Inventory" / "DLWRAW_all_DTAs.csv").write_text(f"FullName,CreationTime,LastWriteTime\n{tmp_path}/raw/AAA_2010_SUR_V01_M_V02_A_COL_GPWG.dta,1/2/2020 3:04:05 PM,1/2/2020 3:04:05 PM\n")
+    assert [inventory.update_survey_inventory(spark) for _ in range(2)] == [True, False] and inventory.update_survey_inventory(spark, force=True)
+    assert spark.read.parquet(at.inventory_table).first().fullname == "/raw/AAA_2010_SUR_V01_M_V02_A_COL_GPWG.dta"
+
+
+def test_files_are_written_in_order(spark, tmp_path):
+    rows = [("s", "AAA", 2012.0, float(k * 7 % 40), str(k), "1", "rural" if k % 3 else "urban") for k in range(40)]
+    df = spark.createDataFrame(rows, "cache_id string, country_code string, surveyid_year double, welfare double, hhid string, pid string, reporting_level string").repartition(3)
+    surveys.write_surveys(df, str(tmp_path / "s"), "micro")
+    for file in (tmp_path / "s").rglob("*.parquet"):
+        found = [(r.reporting_level, r.welfare) for r in spark.read.parquet(str(file)).collect()]
+        assert found == sorted(found) and found
+
+
+def test_repeated_prices_are_errors_without_validation_too(spark):
+    schema = "country_code string, ppp_data_level string, ppp_year int, release_version string, adaptation_version string, ppp double"
+    row = ("AAA", "national", 2017, "v1", "v2", 2.0)
+    wide = enrich.ppp_to_wide(spark.createDataFrame([row], schema), ["ppp_2017_01_02", "ppp_2011_01_01"], validate=False)
+    assert [tuple(r) for r in wide.collect()] == [("AAA", "national", 2.0, None)]
+    with pytest.raises(Exception, match="isn't unique"):
+        enrich.ppp_to_wide(spark.createDataFrame([row, row], schema), ["ppp_2017_01_02"], validate=False).collect()
+    cpi = spark.createDataFrame([("AAA", 2012.0, "S", "national", 1.0)] * 2, "country_code string, survey_year double, survey_acronym string, cpi_data_level string, cpi2017 double")
+    with pytest.raises(Exception, match="CPI isn't unique"):
+        enrich.one_of_each(cpi, enrich.CPI_KEY, "CPI").collect()
+
+
+def test_population_windows_are_the_plain_operators(spark):
+    """``adjust_population`` by windows gives the factors of ``pop_factor``, units that share a level and unknown population included."""
+    import random
+
+    rng = random.Random(4)
+    rows, pops = [], []
+    for c in "ABCDEF":
+        for level in ("urban", "rural", None):
+            for year in (2010.0, 2012.5) if c in "AB" else (2011.0,):
+                if c != "F" or level == "urban":
+                    rows += [(c, c, year, level, rng.choice([None, rng.uniform(1, 9)]), "group" if c == "E" else "micro") for _ in range(rng.randrange(1, 4))]
+            if c != "D" or level == "urban":
+                pops += [(c, level, float(y), None if c == "C" and y == 2011 else rng.uniform(10, 90)) for y in range(2009, 2014)]
+    df = spark.createDataFrame(rows, "cache_id string, country_code string, survey_year double, reporting_level string, weight double, distribution_type string")
+    pop = spark.createDataFrame(pops, POP)
+    got = {(r.cache_id, r.reporting_level): r.pop_fact for r in population.adjust_population(df, pop).collect()}
+    want = {(r.cache_id, r.reporting_level): r.pop_fact for r in population.pop_factor(pop, population.survey_totals(df)).collect()}
+    assert set(got) >= set(want) and len(got) == 16
+    for key, fact in got.items():
+        assert fact == (pytest.approx(want[key]) if key[0] not in "EF" and want.get(key) is not None else None), key
