@@ -6,6 +6,13 @@ Each stage takes what the one before kept, as Parquet:
 2. n-gram Jaccard join: of each group of near-duplicates the smallest id stays,
 3. suffix-array dedup: passages that stand earlier are cut out of the texts,
 4. best-fit packing: the ids of what is left, in sequences.
+
+Stages 1 to 3 return the columns of their input, whatever their names. Edge
+cases: a null or empty text is rejected by stage 1; a null id is kept, counts
+as the largest, and decisions are by row, so of repeated rows one stays (stages
+2 and 3); ties go to the row read first; texts of any length are read whole; an
+empty table gives an empty result. ``n_chars``, if there, is set anew where
+texts are cut.
 """
 
 from __future__ import annotations
