@@ -1,9 +1,11 @@
 """Quality rules with compression bands.
 
 Base counts (words, symbols, repeated lines, repeated three-word windows) and
-zstandard ratios of the whole document and of its fixed 4096-byte chunks. A
-ratio above the limit for the document's length means repetitive text, one
-below the lower limit means incompressible text.
+zstandard ratios of the whole document and of its fixed 4096-byte chunks, the
+shorter last one included. A ratio above the limit for the length means
+repetitive text, one below the lower limit means incompressible text. A
+document goes if its own ratio is beyond a limit, or if the chunks that are
+hold half of its bytes.
 
 Edge cases: a null text counts as having no words (``base_failed``); empty
 tables give empty results; repeated rows are judged row by row; only the id
@@ -34,7 +36,7 @@ ZSTD_LEVEL = 3
 REPETITIVE_BASE, REPETITIVE_STEP = 2.0, 0.1
 #: (bytes below this, lowest plausible ratio)
 INCOMPRESSIBLE = ((512, 1.05), (2048, 1.2), (math.inf, 1.35))
-#: Limits of a whole chunk, and the share of chunks beyond them that rejects a document.
+#: Limits of a whole chunk (a shorter one has those of a text of its length), and the share of bytes in chunks beyond them that rejects a document.
 CHUNK_LOW, CHUNK_HIGH, CHUNK_SHARE = 1.35, 2.4, 0.5
 
 SCHEMA = (
@@ -69,19 +71,26 @@ def repetitive_limit(n_bytes: int) -> float:
     return REPETITIVE_BASE + REPETITIVE_STEP * max(0, math.ceil(math.log2(max(n_bytes, 1) / 512)))
 
 
+def incompressible_limit(n_bytes: int) -> float:
+    return next(x for n, x in INCOMPRESSIBLE if n_bytes < n)
+
+
 def compression(raw: bytes, squeeze) -> tuple[bool, float, int, int]:
-    """(within the bands, ratio, chunks beyond a limit, whole chunks)."""
+    """(within the bands, ratio, chunks beyond a limit, chunks)."""
     if not raw:
         return False, 0.0, 0, 0
     ratio = len(raw) / len(squeeze(raw))
-    whole = len(raw) // CHUNK_BYTES
-    bad = 0
-    for k in range(whole):
-        r = CHUNK_BYTES / len(squeeze(raw[k * CHUNK_BYTES : (k + 1) * CHUNK_BYTES]))
-        bad += not CHUNK_LOW <= r <= CHUNK_HIGH
-    low = next(x for n, x in INCOMPRESSIBLE if len(raw) < n)
-    good = low <= ratio <= repetitive_limit(len(raw)) and (whole == 0 or bad < CHUNK_SHARE * whole)
-    return good, ratio, bad, whole
+    good = incompressible_limit(len(raw)) <= ratio <= repetitive_limit(len(raw))
+    if len(raw) < CHUNK_BYTES:
+        return good, ratio, int(not good), 1
+    bad = bad_bytes = 0
+    for at in range(0, len(raw), CHUNK_BYTES):
+        chunk = raw[at : at + CHUNK_BYTES]
+        n = len(chunk)
+        low, high = (CHUNK_LOW, CHUNK_HIGH) if n == CHUNK_BYTES else (incompressible_limit(n), repetitive_limit(n))
+        if not low <= n / len(squeeze(chunk)) <= high:
+            bad, bad_bytes = bad + 1, bad_bytes + n
+    return good and bad_bytes < CHUNK_SHARE * len(raw), ratio, bad, -(-len(raw) // CHUNK_BYTES)
 
 
 def judge(text: str | None, squeeze) -> tuple:
@@ -89,8 +98,8 @@ def judge(text: str | None, squeeze) -> tuple:
     words = WORD.findall(text)
     n, chars, repeat = len(words), sum(map(len, words)), repeated_words(words)
     failed = n < MIN_WORDS or 100 * repeat > 50 * n
-    good, ratio, bad, whole = compression(text.encode("utf-8"), squeeze)
-    return n, chars, len(SYMBOL.findall(text)), duplicate_lines(text), repeat, failed, not failed and good, ratio, bad, whole
+    good, ratio, bad, chunks = compression(text.encode("utf-8"), squeeze)
+    return n, chars, len(SYMBOL.findall(text)), duplicate_lines(text), repeat, failed, not failed and good, ratio, bad, chunks
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

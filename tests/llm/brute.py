@@ -4,6 +4,8 @@ import math
 import re
 from html.parser import HTMLParser
 
+import zstandard
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
@@ -78,6 +80,25 @@ def quality(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), again, len(hit)
 
 
+def within_bands(raw):
+    """Whether zstandard ratios of a text and of its 4096-byte chunks are plausible; limits by length written out."""
+    if not raw:
+        return False
+    ratio = lambda x: len(x) / len(zstandard.compress(x, 3))
+
+    def plausible(x):
+        top, size = 2.0, 512
+        while size < len(x):
+            top, size = top + 0.1, 2 * size
+        return (1.05 if len(x) < 512 else 1.2 if len(x) < 2048 else 1.35) <= ratio(x) <= top + 1e-12
+
+    odd = 0
+    for chunk in [raw[k : k + 4096] for k in range(0, len(raw), 4096)]:
+        fine = 1.35 <= ratio(chunk) <= 2.4 if len(chunk) == 4096 else plausible(chunk)
+        odd += 0 if fine else len(chunk)
+    return plausible(raw) and 2 * odd < len(raw)
+
+
 class Dom(HTMLParser):
     """The tree of a well-formed page: [tag, path, children], text as strings."""
 

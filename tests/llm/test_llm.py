@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import pytest
+import zstandard
 from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -531,6 +532,21 @@ def test_quality_counts(spark):
     assert quality_rules.quality_rules(docs(spark, [])).count() == 0
 
 
+def test_compression_bands_equal_a_plain_version():
+    rng = random.Random(5)
+    squeeze = zstandard.ZstdCompressor(level=quality_rules.ZSTD_LEVEL).compress
+    noise = lambda n: bytes(rng.randrange(33, 127) for _ in range(n))
+    raws = [b"", b"a", b"q" * 4096, b"q" * 4095, noise(4096) + prose(rng, 600, 3000).encode()]
+    for _ in range(120):
+        parts = [rng.choice((noise(rng.randrange(1, 5000)), prose(rng, rng.randrange(1, 900), 3000).encode(), b"to be or not " * rng.randrange(1, 400))) for _ in range(rng.randrange(1, 4))]
+        raws.append(b"".join(parts))
+    verdicts = [quality_rules.compression(x, squeeze)[0] for x in raws]
+    assert verdicts == [brute.within_bands(x) for x in raws] and len(set(verdicts)) == 2
+    # the last chunk counts by its bytes
+    good = prose(rng, 1200, 3000).encode()[:5000]
+    assert quality_rules.compression(good, squeeze)[2:] == (0, 2) and quality_rules.compression(good[:4096] + noise(900), squeeze)[2:] == (1, 2)
+
+
 def test_compression_bands(spark):
     rng = random.Random(1)
     import base64
