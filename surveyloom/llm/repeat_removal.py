@@ -7,7 +7,9 @@ Equal windows choose equal anchors at the same offset, so every repeat of the
 required length holds an anchor whose seed is found at least twice.
 
 1. Anchors go in binary blocks to the partition that owns their hash, which
-   keeps those found at least twice and sends their places back.
+   keeps those found at least twice and sends their places back. A hash that a
+   task has met twice is settled there and sent once, so a frequent one costs
+   its owner a place for each block of text, not for each document.
 2. The anchors' surroundings (all that a window around them can hold) go to
    the partition that owns the seed. Equal surroundings are one entry; within
    a task this is done before anything is sent.
@@ -17,7 +19,11 @@ required length holds an anchor whose seed is found at least twice.
    leftwards in the same way; where left extensions differ a repeat ends, which
    gives the maximal repeats with all their occurrences. In each all but the
    first occurrence are covered.
-4. Spans are united for each document and cut out.
+4. A partition that holds more than ``HOT_PLACES`` different surroundings (the
+   edge of a passage that is in very many documents) is not scanned in one
+   task: each of its windows of ``LENGTH`` bytes becomes a row, the first in
+   the corpus is found by aggregation, and all later ones are covered.
+5. Spans are united for each document and cut out.
 
 Equal texts are compared by digest first: only the first of them takes part,
 the others are removed whole.
@@ -37,6 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +62,8 @@ PORTION, WINDOW, TEXT_A_PARTITION, SENT_A_PARTITION = 1 << 20, 1 << 24, 1 << 24,
 FILTER_BITS, LEAST_FILTER, LARGEST_FILTER = 16, 1 << 18, 1 << 29
 #: Spans gathered before they are united.
 SPANS_HELD = 1 << 18
+#: Surroundings of a partition (152 bytes each) that a task sorts; more are compared window by window, in rows.
+HOT_PLACES = 1 << 19
 
 ANCHORS = "part int, base long, docs binary, counts binary, hashes binary, places binary"
 SENT = "part int, rows binary, bytes binary"
@@ -98,8 +107,19 @@ def owner_of(uids: np.ndarray, parts: int) -> np.ndarray:
     return (mix(uids.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
 
 
+def places_by_part(uids: np.ndarray, places: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """(part, documents, places of each, places) by the part of the document."""
+    order = np.lexsort((places, uids))
+    uids, places = uids[order], places[order]
+    s, c = runs(uids)
+    to = owner_of(uids[s], parts)
+    for q in np.unique(to):
+        own = to == q
+        yield int(q), uids[s[own]].tobytes(), c[own].astype("<u4").tobytes(), places[ranges(s[own], c[own])].tobytes()
+
+
 def anchor_blocks(docs: DataFrame, parts: int) -> DataFrame:
-    """Anchors in blocks by the part that owns them (part >= 0), and the documents (part < 0)."""
+    """Anchors in blocks by the part that owns them (part >= 0), the documents (-parts <= part < 0), and settled places (part < -parts)."""
     names = [x.split()[0] for x in ANCHORS.split(", ")]
 
     def block(part: int, base: int, *cells: bytes) -> pa.RecordBatch:
@@ -129,6 +149,14 @@ def anchor_blocks(docs: DataFrame, parts: int) -> DataFrame:
                 return
             owner, place, seed = (np.concatenate(x) for x in zip(*found, strict=True))
             tokens = seed >> np.uint64(64 - TOKEN_BITS)
+            # seeds found twice here are settled; their first place tells the owner that there is one
+            order = np.argsort(tokens, kind="stable")
+            starts, lengths = runs(tokens[order])
+            again = order[ranges(starts[lengths > 1], lengths[lengths > 1])]
+            for q, *cells in places_by_part(uid + owner[again].astype(np.int64), place[again].astype("<i4"), parts):
+                yield block(-1 - parts - q, uid, *cells[:2], b"", cells[2])
+            sent = np.sort(order[starts])
+            owner, place, tokens = owner[sent], place[sent], tokens[sent]
             part = (tokens % np.uint64(parts)).astype(np.int32)
             order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
             owner, place, tokens, part = owner[order], place[order].astype("<i4"), tokens[order], part[order]
@@ -157,7 +185,11 @@ FOUND = "kind int, part int, docs binary, counts binary, places binary, uid long
 def repeated_anchors(key: tuple, group: pd.DataFrame, parts: int) -> pd.DataFrame:
     """One part's blocks -> places of seeds found at least twice, by the part of their document; documents pass as rows."""
     names = [x.split()[0] for x in FOUND.split(", ")]
-    if int(key[0]) < 0:
+    part = int(key[0])
+    if part < -parts:
+        out = group[["docs", "counts", "places"]].assign(kind=1, part=-1 - parts - part, uid=None, doc_id=None, n=None, sha=None)
+        return out[names].astype({c: "Int64" for c in ("uid", "doc_id", "n")})
+    if part < 0:
         rows = [x for cell in group["docs"] for x in json.loads(cell)]
         out = pd.DataFrame(rows, columns=["uid", "doc_id", "n", "sha"]).astype({"doc_id": "Int64"})
         return out.assign(kind=0, part=0, docs=b"", counts=b"", places=b"")[names]
@@ -169,14 +201,7 @@ def repeated_anchors(key: tuple, group: pd.DataFrame, parts: int) -> pd.DataFram
     often = lengths > 1
     kept = order[ranges(starts[often], lengths[often])]
     uids, places = uids[kept], places[kept]
-    order = np.lexsort((places, uids))
-    uids, places = uids[order], places[order]
-    s, c = runs(uids)
-    to = owner_of(uids[s], parts)
-    rows = []
-    for q in np.unique(to):
-        own = to == q
-        rows.append((1, int(q), uids[s[own]].tobytes(), c[own].astype("<u4").tobytes(), places[ranges(s[own], c[own])].tobytes(), None, None, None, None))
+    rows = [(1, *cells, None, None, None, None) for cells in places_by_part(uids, places, parts)]
     return pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in ("uid", "doc_id", "n")})
 
 
@@ -185,6 +210,10 @@ def places_of_docs(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     places = np.frombuffer(b"".join(group["places"]), "<i4")
     order = np.lexsort((places, uids))
     uids, places = uids[order], places[order]
+    # a place may be known to its task and to the owner of its seed
+    new = np.ones(len(uids), bool)
+    new[1:] = (uids[1:] != uids[:-1]) | (places[1:] != places[:-1])
+    uids, places = uids[new], places[new]
     s, c = runs(uids)
     return pd.DataFrame({"uid": uids[s], "places": [places[a : a + n].tobytes() for a, n in zip(s, c, strict=True)], "n_places": c})
 
@@ -396,6 +425,45 @@ def spans_of_part(key: tuple, group: pd.DataFrame, places: int) -> pd.DataFrame:
     return pd.DataFrame(list(spans_by_part(found, places)), columns=["part", "rows"])
 
 
+def windows(around: DataFrame) -> DataFrame:
+    """(h1, h2, at): digest and place (no id, id, uid, start) of all windows of LENGTH bytes around the anchors of blocks ``SENT``."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unsqueeze = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for found, cells in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                places = np.frombuffer(found, AROUND)
+                data = np.frombuffer(unsqueeze(cells), np.uint8).reshape(-1, LEFT + LENGTH)
+                for k in range(LEFT + 1):
+                    fits = (places["left"] >= k) & (places["right"] >= LENGTH - k)
+                    own = places[fits]
+                    text = np.ascontiguousarray(data[fits, LEFT - k : LEFT - k + LENGTH]).view(f"V{LENGTH}").ravel().tolist()
+                    h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, text)), "<i8").reshape(-1, 2)
+                    columns = [h[:, 0], h[:, 1], own["null"] != 0, own["id"], own["uid"], own["pos"] - k]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["h1", "h2", "null", "id", "uid", "start"])
+
+    found = around.mapInArrow(rows, "h1 long, h2 long, null boolean, id long, uid long, start int")
+    return found.select("h1", "h2", F.struct("null", "id", "uid", "start").alias("at"))
+
+
+def spans_of_windows(around: DataFrame, places: int) -> DataFrame:
+    """(part, rows): spans of the windows that also start earlier, without a group that one task must hold."""
+    first = windows(around).groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last")
+    first = written(first.select("h1", "h2", "first"), "first-windows")
+    later = windows(around).join(first, ["h1", "h2"]).where("at > first").select("at.uid", "at.start")
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.zeros(batch.num_rows, SPAN)
+            found["uid"], found["start"] = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            found["end"] = found["start"] + LENGTH
+            out = list(zip(*spans_by_part(found, places), strict=True))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary())], names=["part", "rows"])
+
+    return later.mapInArrow(spans, "part int, rows binary")
+
+
 def united(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """Spans of one part's documents without overlaps."""
     spans = np.frombuffer(b"".join(group["rows"]), SPAN)
@@ -423,8 +491,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     text = docs.select(F.col("doc_id").cast("long").alias("id"), "text").withColumn("text_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
     text = likely(text, marks.select(F.col("sha").alias("key")), F.col("text_sha"))
     marked = text.join(marks, text["id"].eqNullSafe(marks["doc_id"]) & (text["text_sha"] == marks["sha"]))
-    around = surrounding_blocks(marked, max(1, -(-sent // SENT_A_PARTITION)), parts)
-    spans = around.groupBy("part").applyInPandas(lambda k, g: spans_of_part(k, g, parts), "part int, rows binary")
+    around = written(surrounding_blocks(marked, max(1, -(-sent // SENT_A_PARTITION)), parts), "surroundings")
+    hot = around.where("part >= 0").groupBy("part").agg(F.sum(F.octet_length("rows")).alias("bytes"))
+    hot = written(hot.where(F.col("bytes") > HOT_PLACES * AROUND.itemsize).select("part"), "hot-parts")
+    none_hot = hot.isEmpty()
+    few = around if none_hot else around.join(hot, "part", "left_anti")
+    spans = few.groupBy("part").applyInPandas(lambda k, g: spans_of_part(k, g, parts), "part int, rows binary")
+    if not none_hot:
+        spans = spans.unionByName(spans_of_windows(around.join(hot, "part", "left_semi").select("part", "rows", "bytes"), parts))
     spans = spans.groupBy("part").applyInPandas(united, "uid long, n_removed long, n_spans long, starts array<int>, ends array<int>")
     spans = written(spans, "spans")
     copy = ~F.col("is_first") & (F.col("n") >= LENGTH)

@@ -336,7 +336,10 @@ def test_repeats_edge_cases(spark):
     assert repeat_removal.without_repeats(docs(spark, [])).count() == 0
 
 
-def test_repeats_of_random_texts(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [1 << 19, 150, 0])
+def test_repeats_of_random_texts(spark, monkeypatch, hot):
+    # 0: no part is sorted in one task
+    monkeypatch.setattr(repeat_removal, "HOT_PLACES", hot)
     monkeypatch.setattr(repeat_removal, "TEXT_A_PARTITION", 20_000)
     monkeypatch.setattr(repeat_removal, "SENT_A_PARTITION", 50_000)
     rng = random.Random(8)
@@ -350,6 +353,18 @@ def test_repeats_of_random_texts(spark, monkeypatch):
     check_cut(spark, rows, sorted(rows))
 
 
+@pytest.mark.parametrize("hot", [1 << 19, 100])
+def test_repeats_of_one_seed_with_many_surroundings(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeat_removal, "HOT_PLACES", hot)
+    rng = random.Random(12)
+    line = prose(rng, 40, 300)[:160]
+    # what stands before and behind differs, but shares ends of any length
+    ends = [prose(rng, 12, 300)[:50] for _ in range(6)]
+    rows = [(i, rng.choice(ends)[rng.randrange(50) :] + line[: rng.randrange(60, 161)] + rng.choice(ends)[: rng.randrange(50)] + str(i)) for i in range(150)]
+    # a null id is the last document
+    check_cut(spark, [(None, line), *rows[::-1]], [*rows, (None, line)])
+
+
 def test_cut_texts_keep_whole_characters(spark):
     passage = "".join(chr(0xE0 + k % 30) for k in range(60))
     rows = [(1, "a" + passage), (2, "b" * 30 + passage + "日本"), (3, "b" * 30), (4, "a" + passage)]
