@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that go to Python together hold about this many bytes, however long texts are (a longer row goes alone).
+HANDED_BYTES = 1 << 22
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read by Spark so that any file system works."""
@@ -27,6 +32,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside sends rows to Python by bytes, not only by number: long texts would else fill the memory beside the heap."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(HANDED_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
@@ -35,7 +55,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with bounded_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from surveyloom.llm import best_fit_packing as packing
-from surveyloom.llm import bpe, chat_format, embedding_dedup, ngram_join, packed_matrices, quality_rules, queries, repeat_removal, style_tree, token_ids, warc
+from surveyloom.llm import bpe, chat_format, embedding_dedup, ngram_join, packed_matrices, quality_rules, queries, repeat_removal, style_tree, tables, token_ids, warc
 from surveyloom.llm.components import components
 from surveyloom.llm.tables import settled, written
 from tests.conftest import same_as_oracle
@@ -489,6 +489,21 @@ def test_input_behind_a_shuffle_is_written_first(spark):
     assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString() and again.count() == 2
 
 
+def test_long_texts_are_handed_over_by_bytes(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(tables, "HANDED_BYTES", 50_000)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    rows = docs(spark, [(i, "x" * 1000) for i in range(900)] + [(900, "x" * 200_000)]).coalesce(1)
+    found = [r.n for r in written(rows.select("text").mapInArrow(sizes, "n long"), "t").collect()]
+    assert sum(found) == 901 and max(found) <= 60
+    assert spark.conf.get(key, None) == before
+
+
 def test_one_of_each_group_stays(spark):
     rows = edge_texts()
     left = ngram_join.keep_one_of_each(docs(spark, [*rows, (16, "a b c d e")]))
