@@ -823,7 +823,7 @@ def test_queries_match_duckdb(spark, duck, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_query_columns(spark, sf_dir):
@@ -834,6 +834,9 @@ def test_query_columns(spark, sf_dir):
         5: {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
         7: {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
         10: {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
+        11: {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
+        12: {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"},
+        13: {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
     }
     for name, f in queries.QUERIES.items():
         types = want.get(int(name[2:].split("_")[0]))
