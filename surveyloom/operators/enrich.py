@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.nulls import join_nullsafe
 from surveyloom.functions.schema import DATA_LEVELS, SORT_KEYS, checked_kind
-from surveyloom.operators.checks import require_unique
+from surveyloom.operators.checks import require_unique, unique_in_plan
 from surveyloom.operators.population import level_sums, rescaled, with_factors
 
 CPI_KEY = ["country_code", "survey_year", "survey_acronym", "cpi_data_level"]
@@ -63,14 +63,6 @@ def price_columns(cpi: DataFrame) -> DataFrame:
     return cpi.select(*CPI_KEY, *[c for c in cpi.columns if re.fullmatch(r"cpi[0-9]{4}", c)])
 
 
-def one_of_each(df: DataFrame, keys: list[str], what: str) -> DataFrame:
-    """``df``, with an error when it is read if ``keys`` repeat. For small tables: they are grouped."""
-    rest = [c for c in df.columns if c not in keys]
-    twice = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"{what} isn't unique by {', '.join(keys)}")).cast("boolean"))
-    own = df.groupBy(*keys).agg(twice.alias("_twice"), *[F.first(c).alias(c) for c in rest])
-    return own.where("_twice IS NULL").select(*df.columns)
-
-
 PROFILE_KEY = ["cache_id", *DATA_LEVELS]
 
 
@@ -130,7 +122,7 @@ def with_prices(df: DataFrame, cpi: DataFrame, ppp: DataFrame, versions: list[st
     """PPP and CPI columns, ``welfare_lcu`` and one ``welfare_ppp_*`` column per PPP version of a base year."""
     wide = ppp_to_wide(ppp, versions, validate)
     prices = price_columns(cpi)
-    prices = require_unique(prices, CPI_KEY, "CPI") if validate else one_of_each(prices, CPI_KEY, "CPI")
+    prices = require_unique(prices, CPI_KEY, "CPI") if validate else unique_in_plan(prices, CPI_KEY, "CPI")
     df = join_nullsafe(join_nullsafe(df, wide, PPP_KEY), prices, CPI_KEY)
     used = [(v, f"cpi{y}") for y in base_years(prices.columns, wide.columns) for v in wide.columns if v.startswith(f"ppp_{y}")]
     return df.select("*", F.col("welfare").alias("welfare_lcu"), *[deflated(F.col("welfare"), F.col(v), F.col(c)).alias(f"welfare_{v}") for v, c in used])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.nulls import greatest_na, join_nullsafe, paste_na, plain_number
 from surveyloom.functions.schema import DOMAINS, SURVEY_KEY
-from surveyloom.operators.checks import SurveyError, require_columns, require_unique
+from surveyloom.operators.checks import SurveyError, require_columns, require_unique, unique_in_plan
 
 
 def reporting_level(framework: DataFrame) -> DataFrame:
@@ -49,10 +49,26 @@ def cache_id(prefix: Column, module: Column) -> Column:
     return F.concat(prefix, F.lit("_"), F.coalesce(module, F.lit("")))
 
 
+def other_type() -> Column:
+    """Short code of the second measure, NULL where there is none."""
+    return F.when(F.col("oth_welfare1_type") != "", short_type(long_type(F.col("oth_welfare1_type"))))
+
+
 def all_frameworks(pfw: DataFrame, alternatives: bool = True) -> DataFrame:
-    """Framework rows of all surveys in use, with ``cache_prefix``: they meet the survey rows without a look at these first."""
-    rows = reporting_level(pfw).drop("module")
-    return with_cache_prefix(with_alternatives(rows) if alternatives else rows.withColumn("is_alt_welf", F.lit(False)))
+    """Framework rows of all surveys in use, with ``cache_prefix``: they meet the survey rows without a look at these first.
+
+    The key of the whole of ``pfw`` is checked where its rows are read, and so is that a survey's two measures have different
+    cache ids: a repeated key stops the run that would multiply survey rows, without a job of its own.
+    """
+    rows = reporting_level(unique_in_plan(pfw, SURVEY_KEY, "framework")).drop("module")
+    if not alternatives:
+        return with_cache_prefix(rows.withColumn("is_alt_welf", F.lit(False)))
+    alike = (F.col("inpovcal") == 1) & short_type(F.col("welfare_type")).eqNullSafe(other_type())
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in SURVEY_KEY])
+    error = F.raise_error(F.concat(F.lit("framework after alternatives isn't unique by cache_id: both measures of ["), shown, F.lit("] have one type")))
+    # in a filter, as a column could be left out of the plan
+    checked = rows.where(F.when(alike, error.cast("boolean")).otherwise(True))
+    return with_cache_prefix(with_alternatives(checked))
 
 
 def survey_framework(surveys: DataFrame, pfw: DataFrame, alternatives: bool = True, validate: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.schema import checked_kind
@@ -12,9 +12,27 @@ from surveyloom.functions.schema import checked_kind
 LAYOUTS = {1: "cumulative", 2: "shares", 5: "means"}
 
 
+#: Why a row is dropped, in the order in which rules are asked.
+MICRO_RULES = {
+    "welfare_unknown": "welfare IS NULL OR isnan(welfare)", "welfare_negative": "welfare < 0",
+    "weight_unknown": "weight IS NULL OR isnan(weight)", "weight_not_positive": "weight <= 0",
+}
+GROUP_RULES = {"area_unknown": "area IS NULL"}
+DROPPED = "dropped_by"
+
+
+def rules_of(kind: str) -> dict[str, str]:
+    return MICRO_RULES if checked_kind(kind) == "micro" else GROUP_RULES
+
+
+def dropped_by(kind: str) -> Column:
+    """The first rule that drops a row, NULL for rows that stay."""
+    return F.coalesce(*[F.when(F.expr(rule), name) for name, rule in rules_of(kind).items()], F.lit(None).cast("string"))
+
+
 def valid_micro(df: DataFrame) -> DataFrame:
     """Rows with a known, non-negative welfare and a positive weight."""
-    return df.where("welfare >= 0 AND weight > 0")
+    return df.where("welfare >= 0 AND weight > 0 AND NOT isnan(welfare) AND NOT isnan(weight)")
 
 
 def gd_type_code(c):

@@ -69,6 +69,25 @@ SELECT concat(chr(92), 'share', chr(92), n_name, chr(92), 'C', CAST(n_nationkey
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"""
 
 
+_MD_COLUMNS = "country_code, surveyid_year, survey_acronym, module, hhid, pid, alt_welfare, urban, male, educat4, educat5, literacy"
+#: The same with surveys that break a rule: repeated keys and prices, a second measure of the first one's type or of no column, no valid row.
+VIEWS |= {
+    "pfw_bad": """
+SELECT country_code, surveyid_year, survey_acronym, survey_year, cpi_domain, ppp_domain, gdp_domain, pce_domain, pop_domain, inpovcal, use_imputed, welfare_type,
+  CASE WHEN country_code = 'NATION_13' THEN welfare_type ELSE oth_welfare1_type END AS oth_welfare1_type, CASE WHEN country_code = 'NATION_9' THEN 'no_such' ELSE oth_welfare1_var END AS oth_welfare1_var
+FROM {pfw}
+UNION ALL SELECT country_code, surveyid_year, survey_acronym, survey_year, cpi_domain, ppp_domain, gdp_domain, pce_domain, pop_domain, 0, use_imputed, welfare_type, oth_welfare1_type, oth_welfare1_var
+FROM {pfw} WHERE country_code = 'NATION_3'""",
+    "md_bad": f"""
+SELECT {_MD_COLUMNS},
+  CASE WHEN country_code = 'NATION_2' OR (male IS NULL AND educat4 = 1) THEN NULL WHEN educat4 = 2 AND urban = 1 THEN -welfare ELSE welfare END AS welfare,
+  CASE WHEN weight_p <= 3 THEN 0 WHEN weight_p <= 6 THEN NULL ELSE weight_p END AS weight_p
+FROM {{md}}""",
+    "cpi_bad": "SELECT * FROM {cpi} UNION ALL SELECT * FROM {cpi} WHERE country_code = 'NATION_6' AND cpi_data_level = 'urban'",
+    "ppp_bad": "SELECT * FROM {ppp} UNION ALL SELECT * FROM {ppp} WHERE country_code = 'NATION_4' AND ppp_data_level = 'rural' AND ppp_year = 2017",
+}
+
+
 def needs(name: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", VIEWS[name])))
 

@@ -1,4 +1,4 @@
-"""Errors as exceptions (default) or as values."""
+"""Errors as exceptions (default) or as values; for errors of single surveys see ``plans.batch``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from surveyloom.sources.config import scratch
+
 
 @dataclass(frozen=True)
 class StageResult:
@@ -19,12 +21,17 @@ class StageResult:
 
 
 def captured(stage: Callable[..., DataFrame], *args, **kwargs) -> StageResult:
-    """Run a stage that may fail; warnings count as failures. Rows are computed once, so that errors in data show here."""
+    """Run a stage that may fail; warnings count as failures.
+
+    The rows are computed once, into the shared folder, so that errors in data show here; ``frame`` reads them there.
+    """
     with warnings.catch_warnings():
         warnings.simplefilter("error", UserWarning)
         try:
             frame = stage(*args, **kwargs)
-            frame.write.format("noop").mode("overwrite").save()
+            path = scratch(frame.sparkSession, "captured")
+            frame.write.parquet(path)
+            frame = frame.sparkSession.read.schema(frame.schema).parquet(path)
         except Warning as w:
             return StageResult("warning", f"Warning: {w}")
         except Exception as e:  # noqa: BLE001 - the caller asked for errors as values

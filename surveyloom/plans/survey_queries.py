@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from surveyloom.functions.nulls import count_distinct_na
 from surveyloom.functions.schema import CLEAN_COLUMNS, CLEAN_TYPES, DATA_LEVELS, SURVEY_KEY
 from surveyloom.operators import checks, clean, enrich, framework, population, profile, split, validity
-from surveyloom.plans import pipeline
+from surveyloom.plans import batch, pipeline
 from surveyloom.plans.adapters import ctes, view
-from surveyloom.sources import inventory, surveys
+from surveyloom.sources import inventory, surveys, versions
 from surveyloom.sources.config import Locations, scratch
 
 FLAGSHIP = "welfare_ppp"
 #: Versions of the PPP adapter; naming them saves the job that finds them.
 VERSIONS = ["ppp_2011_01_01", "ppp_2011_02_01", "ppp_2017_01_02"]
+#: Columns that the framework adapter names as second measures.
+ALTERNATIVES = ["alt_welfare"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -57,7 +59,7 @@ def micro_framework(spark: SparkSession, d: str) -> DataFrame:
 
 
 def micro_rows(spark: SparkSession, d: str) -> DataFrame:
-    return split.split_alt_welfare(micro(spark, d), framework.all_frameworks(pfw(spark, d)))
+    return split.split_alt_welfare(micro(spark, d), framework.all_frameworks(pfw(spark, d)), ALTERNATIVES)
 
 
 def group_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -338,7 +340,7 @@ def ppp_to_wide(spark, d):
     return rounded(enrich.ppp_to_wide(view(spark, d, "ppp")))
 
 
-@query("base_years", "SELECT y AS base_year FROM (VALUES ('2005'), ('2011'), ('2017')) AS c(y) INTERSECT SELECT CAST(y AS VARCHAR) FROM (VALUES (2011), (2017)) AS p(y)")
+@query("base_years", ctes("cpi", "ppp") + " SELECT DISTINCT CAST(ppp_year AS VARCHAR) AS base_year FROM ppp WHERE EXISTS (SELECT 1 FROM (DESCRIBE SELECT * FROM cpi) c WHERE c.column_name LIKE concat('cpi', CAST(ppp_year AS VARCHAR), '%'))")
 def base_years(spark, d):
     import warnings
 
@@ -416,8 +418,18 @@ _ADJUSTED = """, scaled AS (
 _WHERE = "WHERE cache_id IN (SELECT cache_id FROM adjusted)"
 
 
-@query("adjust_population", SQL_LEVELLED + _POPULATION.format(where=_WHERE) + _ADJUSTED.format(source="levelled") + " " + sql_rounded([*_ID, "reporting_level", "weight", "pop_fact"], "scaled", 3))
+_ADJUST_SQL = SQL_LEVELLED + _POPULATION.format(where=_WHERE) + _ADJUSTED.format(source="levelled") + " " + sql_rounded([*_ID, "reporting_level", "weight", "pop_fact"], "scaled", 3)
+
+
+@query("adjust_population", _ADJUST_SQL)
 def adjust_population(spark, d):
+    valid = validity.valid_micro(clean.clean_micro(micro_rows(spark, d)))
+    return rounded(enrich.with_level_and_population(valid, view(spark, d, "pop"), "micro").select(*_ID, "reporting_level", "weight", "pop_fact"), 3)
+
+
+@query("adjust_population_by_level", _ADJUST_SQL)
+def adjust_population_by_level(spark, d):
+    # of data that has its reporting level
     return rounded(population.adjust_population(_levelled(spark, d), view(spark, d, "pop")).select(*_ID, "reporting_level", "weight", "pop_fact"), 3)
 
 
@@ -443,14 +455,28 @@ def inventory_clean(spark, d):
     return df.select("fullname", stamp("creationtime"), stamp("lastwritetime"), "segment", "survey_id", "country_code", "surveyid_year", "survey_acronym", "vermast", "veralt", "module")
 
 
-@query("inventory_digest", "SELECT true AS same_in_another_order, true AS differs_without_a_row, true AS differs_in_a_cell")
+_DIGEST_SQL = f"""WITH inv_rows AS ({ORACLES['inventory_clean']}), top AS (SELECT max(fullname) AS one FROM inv_rows)
+  SELECT 'same rows' AS case_, count(*) AS n_rows, true AS equal FROM inv_rows
+  UNION ALL SELECT 'another order', count(*), true FROM inv_rows
+  UNION ALL SELECT 'without a row', count(*), count(*) = (SELECT count(*) FROM inv_rows) FROM inv_rows, top WHERE fullname <> one
+  UNION ALL SELECT 'another cell', count(*), count(*) FILTER (fullname = one AND veralt IS DISTINCT FROM 'V99') = 0 FROM inv_rows, top
+  UNION ALL SELECT 'a value in the next column', count(*), count(*) FILTER (vermast IS NOT NULL) = 0 FROM inv_rows"""
+
+
+@query("inventory_digest", _DIGEST_SQL)
 def inventory_digest(spark, d):
     df = _inventory(spark, d)
     own = inventory.digest(df)
     one = df.select(F.max("fullname")).first()[0]
-    others = df.orderBy(F.desc("fullname")), df.where(F.col("fullname") != one), df.withColumn("veralt", F.when(F.col("fullname") == one, "V99").otherwise(F.col("veralt")))
-    same, fewer, changed = (inventory.digest(x) for x in others)
-    return spark.createDataFrame([(same == own, fewer != own, changed != own)], "same_in_another_order boolean, differs_without_a_row boolean, differs_in_a_cell boolean")
+    empty = F.lit(None).cast("string")
+    others = {
+        "same rows": df, "another order": df.orderBy(F.desc("fullname")), "without a row": df.where(F.col("fullname") != one),
+        "another cell": df.withColumn("veralt", F.when(F.col("fullname") == one, "V99").otherwise(F.col("veralt"))),
+        # NULL counts, so a value moved beside a NULL is seen
+        "a value in the next column": df.withColumns({"vermast": empty, "veralt": F.col("vermast")}),
+    }
+    found = {name: inventory.digest(x) for name, x in others.items()}
+    return spark.createDataFrame([(name, int(x.split(":")[0]), x == own) for name, x in found.items()], "case_ string, n_rows long, equal boolean")
 
 
 def _written_csv(spark, d, path):
@@ -470,7 +496,7 @@ def inventory_update(spark, d):
     _written_csv(spark, d, at.inventory_file)
     if [inventory.update_inventory(spark, at.inventory_file, at.inventory_table, "/share/") for _ in range(2)] != [True, False]:
         raise checks.SurveyError("an inventory is saved once unless it changes")
-    df = spark.read.parquet(at.inventory_table)
+    df = versions.read_version(spark, at.inventory_table)
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
     return df.select("fullname", stamp("creationtime"), stamp("lastwritetime"), "segment", "survey_id", "country_code", "surveyid_year", "survey_acronym", "vermast", "veralt", "module")
 
@@ -502,6 +528,52 @@ def inventory_times(spark, d):
     return stamps.select("c_custkey", F.date_format(inventory.month_first_time(F.col("stamp")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
+_LAYOUTS = {
+    # date and time, and how DuckDB reads it
+    0: ("concat({mo}, '/', {dd}, '/', {y}, ' ', {h12}, ':07:', {s}, CASE WHEN c_custkey % 2 = 0 THEN ' AM' ELSE ' PM' END)", "%m/%d/%Y %I:%M:%S %p"),
+    1: ("concat({mo}, '/', {dd}, '/', {y}, ' ', {h}, ':07:', {s})", "%m/%d/%Y %H:%M:%S"),
+    2: ("concat({mo}, '-', {dd}, '-', {y}, ' ', {h}, ':07:', {s})", "%m-%d-%Y %H:%M:%S"),
+    3: ("concat({mo}, '/', {dd}, '/', substring({y}, 3, 2), ' ', {h}, ':07:', {s})", "%m/%d/%y %H:%M:%S"),
+    4: ("concat({mo}, '.', {dd}, '.', {y}, 'T', {h}, '.07.', {s})", "%m.%d.%YT%H.%M.%S"),
+    5: ("concat({name}, ' ', {dd}, ', ', {y}, ' ', {h12}, ':07:', {s}, 'pm')", "%b %d, %Y %I:%M:%S%p"),
+    6: ("concat({mm}, {d2}, {y}, ' ', {hh}, '07', {s})", "%m%d%Y %H%M%S"),
+    7: ("concat({mo}, ' ', {dd}, ' ', {y}, '  ', {h}, ' 07 ', {s})", "%m %d %Y  %H %M %S"),
+    8: ("concat({mo}, '/', {dd}, '/', {y}, ' ', {h}, ':07:', {s}, '.25')", "%m/%d/%Y %H:%M:%S.%g"),
+    9: ("concat({mo}, '_', {dd}, '_', {y}, '_', {h}, '_07_', {s})", "%m_%d_%Y_%H_%M_%S"),
+    10: ("concat('13/', {dd}, '/', {y}, ' ', {h}, ':07:', {s})", None),
+    11: ("concat({mo}, '/', {dd}, '/', {y}, ' 13:07:', {s}, ' AM')", None),
+    12: ("'some day'", None),
+}
+_text = "CAST({} AS VARCHAR(20))".format
+_PARTS = {
+    "mo": _text("1 + c_custkey % 12"), "dd": _text("1 + c_custkey % 28"), "y": _text("1969 + c_custkey % 100"), "h": _text("c_custkey % 24"), "h12": _text("1 + c_custkey % 12"), "s": _text("10 + c_custkey % 50"),
+    "mm": "lpad(CAST(1 + c_custkey % 12 AS VARCHAR(20)), 2, '0')", "d2": "lpad(CAST(1 + c_custkey % 28 AS VARCHAR(20)), 2, '0')", "hh": "lpad(CAST(c_custkey % 24 AS VARCHAR(20)), 2, '0')",
+    "name": "substring('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(1 + 3 * (c_custkey % 12) AS INTEGER), 3)",
+}
+_LAID_OUT = "SELECT c_custkey, c_custkey % 13 AS layout, CASE c_custkey % 13 " + " ".join(f"WHEN {k} THEN {text.format(**_PARTS)}" for k, (text, _) in _LAYOUTS.items()) + " END AS stamp FROM "
+
+
+@query(
+    "inventory_time_layouts",
+    "SELECT c_custkey, layout, strftime(CASE layout " + " ".join(f"WHEN {k} THEN try_strptime(stamp, '{how}')" for k, (_, how) in _LAYOUTS.items() if how) + f" END, '%Y-%m-%d %H:%M:%S') AS parsed FROM ({_LAID_OUT} customer)",
+)
+def inventory_time_layouts(spark, d):
+    stamps = spark.sql(_LAID_OUT + "{customer}", customer=spark.read.parquet(f"{d}/customer.parquet"))
+    return stamps.select("c_custkey", "layout", F.date_format(inventory.month_first_time(F.col("stamp")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
+@query(
+    "inventory_losses",
+    ctes("inv") + """, rows AS (
+    SELECT CASE WHEN try_strptime(creationtime, '%m/%d/%Y %I:%M:%S %p') IS NULL THEN 'creationtime_unknown'
+      WHEN string_split(regexp_replace(fullname, '[.][^.]*$', ''), '_')[-1] NOT IN ('GPWG', 'ALL', 'BIN', 'GROUP', 'HIST') THEN 'module_other' END AS dropped_by FROM inv)
+  SELECT dropped_by, count(*) AS n FROM rows WHERE dropped_by IS NOT NULL GROUP BY ALL""",
+)
+def inventory_losses(spark, d):
+    raw = view(spark, d, "inv")
+    return inventory.inventory_losses(inventory.judged_inventory(raw.toDF(*[c.lower() for c in raw.columns]), "/share/"))
+
+
 # ---- sources and sinks ----
 
 
@@ -519,19 +591,42 @@ def load_auxiliary(spark, d):
     return rounded(surveys.load_auxiliary(spark, folder, "ppp"))
 
 
-@query("save_if_changed", "SELECT * FROM (VALUES (1, true), (2, false), (3, true), (4, true), (5, false)) AS t(step, was_written)")
+_SAVED_SQL = """WITH steps AS (
+  SELECT 1 AS step, 1 AS version, true AS was_written, count(*) AS n_rows, sum(c_custkey) AS total FROM customer UNION ALL SELECT 2, 1, false, count(*), sum(c_custkey) FROM customer
+  UNION ALL SELECT 3, 2, true, count(*), sum(c_custkey) FROM customer WHERE c_custkey % 3 > 0 UNION ALL SELECT 4, 3, true, count(*), sum(c_custkey) FROM customer WHERE c_custkey % 3 > 0
+  UNION ALL SELECT 5, 3, false, count(*), sum(c_custkey) FROM customer WHERE c_custkey % 3 > 0
+) SELECT step, version, was_written, n_rows, CAST(total AS BIGINT) AS total FROM steps"""
+
+
+@query("save_if_changed", _SAVED_SQL)
 def save_if_changed(spark, d):
-    path, df = scratch(spark, "saved"), spark.read.parquet(f"{d}/nation.parquet")
-    changed = df.where("n_nationkey > 0")
-    steps = [(df, False), (df.orderBy(F.desc("n_name")), False), (changed, False), (changed, True), (changed, False)]
-    return spark.createDataFrame([(k, inventory.save_if_changed(x, path, force)) for k, (x, force) in enumerate(steps, 1)], "step int, was_written boolean")
+    path, df = scratch(spark, "saved"), spark.read.parquet(f"{d}/customer.parquet")
+    changed = df.where("c_custkey % 3 > 0")
+    steps = [(df, False), (df.orderBy(F.desc("c_name")), False), (changed, False), (changed, True), (changed, False)]
+    # what a reader finds after each step
+    found = []
+    for k, (x, force) in enumerate(steps, 1):
+        written = inventory.save_if_changed(x, path, force)
+        number = versions.current(spark, path).number
+        stored = versions.read_version(spark, path, number).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("c_custkey").alias("total"))
+        found.append(stored.select(F.lit(k).alias("step"), F.lit(number).alias("version"), F.lit(written).alias("was_written"), "n_rows", "total"))
+    return reduce(DataFrame.unionByName, found)
 
 
-@query("bundled_columns", "SELECT * FROM (VALUES " + ", ".join(f"({k}, '{c}', '{t}')" for k, (c, t) in enumerate(CLEAN_TYPES.items(), 1)) + ") AS t(place, variable, type)")
+@query(
+    "bundled_columns",
+    SQL_MICRO + f" SELECT variable, count(value) AS n_known FROM (UNPIVOT (SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in CLEAN_COLUMNS)} FROM clean) ON {', '.join(CLEAN_COLUMNS)} INTO NAME variable VALUE value) GROUP BY variable"
+    + " UNION ALL SELECT * FROM (SELECT unnest(['gender', 'area', 'gd_type', 'imputation_id']) AS variable, 0 AS n_known)",
+)
 def bundled_columns(spark, d):
+    # the bundled list against the cleaned rows: their columns, types and known values
     with open(surveys.bundled("clean_columns.csv"), encoding="utf-8") as f:
-        rows = [line.strip().split(",") for line in f][1:]
-    return spark.createDataFrame([(k, *r) for k, r in enumerate(rows, 1)], "place int, variable string, type string")
+        listed = [line.strip().split(",") for line in f][1:]
+    rows = clean.clean_micro(micro_rows(spark, d))
+    if [[c, t] for c, t in rows.drop("cache_id").dtypes] != listed:
+        raise checks.SurveyError("the bundled columns aren't those of the cleaned rows")
+    known = rows.agg(*[F.count(c).alias(c) for c, _ in listed])
+    return known.unpivot([], [c for c, _ in listed], "variable", "n_known")
 
 
 @query("process_data_default", "SELECT r_regionkey, r_name FROM region")
@@ -567,6 +662,16 @@ def row_order_reporting(spark, d):
     return _placed(enrich.with_reporting_level(clean.clean_micro(micro_rows(spark, d)), "micro"), "micro", "reporting_level", "hhid", "pid")
 
 
+@query("surveys_in_files", SQL_MICRO + f" SELECT cache_id, hhid, pid, round(welfare, 4) AS welfare, {_PLACE.format(keys=_MICRO_KEYS)} FROM clean")
+def surveys_in_files(spark, d):
+    # places by the names of a survey's files and the rows in them
+    path = scratch(spark, "ordered-surveys")
+    surveys.write_surveys(clean.clean_micro(micro_rows(spark, d)), path, "micro")
+    own = Window.partitionBy("cache_id").orderBy("file", "row")
+    rows = spark.read.parquet(path).select("cache_id", "hhid", "pid", "welfare", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rounded(rows.select("cache_id", "hhid", "pid", "welfare", F.row_number().over(own).cast("long").alias("place")))
+
+
 # ---- pipelines ----
 
 SQL_PROCESS = ctes("pfw", "md") + sql_framework("md", alternatives=False) + _SPLIT.replace("fw.wt AS welfare_type", "fw.welfare_type") + _CLEAN + _VALID
@@ -592,5 +697,72 @@ def pipeline_full(spark, d):
 
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
-        df = pipeline.full_chain(micro(spark, d), pfw(spark, d), view(spark, d, "cpi"), view(spark, d, "ppp"), view(spark, d, "pop"), "micro", VERSIONS, validate=False)
+        df = pipeline.full_chain(micro(spark, d), pfw(spark, d), view(spark, d, "cpi"), view(spark, d, "ppp"), view(spark, d, "pop"), "micro", VERSIONS, validate=False, alternatives=ALTERNATIVES)
     return rounded(df, 4)
+
+
+# ---- batches ----
+
+_NUMBERS = "('surveyid_year', 'welfare', 'alt_welfare', 'weight_p', 'urban', 'male', 'educat4', 'educat5', 'literacy')"
+_BROKEN = f""", keys AS (
+  SELECT country_code, surveyid_year, survey_acronym, count(*) AS n, count(*) FILTER (inpovcal = 1) AS used FROM pfw_bad GROUP BY ALL
+), described AS (
+  SELECT p.*, k.n, {_WT} AS wt, CASE {_ALT_TYPE} WHEN 'income' THEN 'INC' WHEN 'consumption' THEN 'CON' ELSE '' END AS other_wt, {_LEVEL} AS level
+  FROM pfw_bad p JOIN keys k USING (country_code, surveyid_year, survey_acronym) WHERE inpovcal = 1
+), twice AS (
+  SELECT 'cpi' AS what, country_code, survey_year, survey_acronym FROM cpi_bad GROUP BY country_code, survey_year, survey_acronym, cpi_data_level HAVING count(*) > 1
+  UNION SELECT 'ppp', country_code, NULL, NULL FROM ppp_bad GROUP BY country_code, ppp_data_level, ppp_year, release_version, adaptation_version HAVING count(*) > 1
+), judged AS (
+  SELECT s.country_code, s.surveyid_year, s.survey_acronym, s.module, s.n_rows, p.oth_welfare1_var, p.n,
+    s.country_code || '_' || CAST(CAST(s.surveyid_year AS BIGINT) AS VARCHAR) || '_' || s.survey_acronym || '_D' || coalesce(p.level, 'NA') || '_' || p.wt || '_' || s.module AS first_id,
+    CASE WHEN p.country_code IS NULL THEN 'no_framework' WHEN p.n > 1 THEN 'framework_repeats' WHEN p.oth_welfare1_type <> '' AND p.wt = p.other_wt THEN 'cache_id_repeats'
+      WHEN p.oth_welfare1_type <> '' AND p.oth_welfare1_var NOT IN {_NUMBERS} THEN 'no_such_column'
+      WHEN EXISTS (SELECT 1 FROM twice t WHERE what = 'cpi' AND t.country_code = p.country_code AND t.survey_year = p.survey_year AND t.survey_acronym = p.survey_acronym) THEN 'cpi_repeats'
+      WHEN s.country_code IN (SELECT country_code FROM twice WHERE what = 'ppp') THEN 'ppp_repeats' END AS rule
+  FROM (SELECT country_code, surveyid_year, survey_acronym, module, count(*) AS n_rows FROM md_bad GROUP BY ALL) s LEFT JOIN described p USING (country_code, surveyid_year, survey_acronym)
+), pfw_ok AS (SELECT p.* FROM pfw_bad p SEMI JOIN (SELECT * FROM judged WHERE rule IS NULL) j ON p.country_code = j.country_code AND p.surveyid_year = j.surveyid_year AND p.survey_acronym = j.survey_acronym)"""
+_BATCH = ctes("pfw_bad", "md_bad", "cpi_bad", "ppp_bad", "pop") + _BROKEN + sql_framework("md_bad").replace("FROM pfw p", "FROM pfw_ok p") + _SPLIT.replace("FROM md m", "FROM md_bad m") + _CLEAN
+
+
+def _full_batch(spark, d):
+    import warnings
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return batch.full_batch(*[view(spark, d, n) for n in ("md_bad", "pfw_bad", "cpi_bad", "ppp_bad", "pop")], "micro", VERSIONS)
+
+
+@query(
+    "batch_status",
+    _BATCH + """ SELECT country_code, surveyid_year, survey_acronym, module, CASE WHEN rule IN ('no_framework', 'framework_repeats') THEN NULL ELSE first_id END AS cache_id, rule,
+    CASE rule WHEN 'no_framework' THEN 'the framework has no row in use' WHEN 'framework_repeats' THEN 'the framework has ' || n || ' rows' WHEN 'cache_id_repeats' THEN 'both measures have the cache id ' || first_id
+      WHEN 'no_such_column' THEN 'no numeric column ' || oth_welfare1_var || ' for the second measure' WHEN 'cpi_repeats' THEN 'the CPI table has a level of the survey twice' ELSE 'the PPP table has a level of the country twice' END AS message, n_rows
+  FROM judged WHERE rule IS NOT NULL
+  UNION ALL SELECT j.country_code, j.surveyid_year, j.survey_acronym, j.module, c.cache_id, 'no_valid_rows', 'none of ' || count(*) || ' rows is valid', count(*)
+  FROM clean c JOIN judged j USING (country_code, surveyid_year, survey_acronym) GROUP BY ALL HAVING count(*) FILTER (welfare >= 0 AND weight > 0) = 0""",
+)
+def batch_status(spark, d):
+    return _full_batch(spark, d).status
+
+
+@query(
+    "batch_counts",
+    _BATCH + """ SELECT cache_id, CASE WHEN welfare IS NULL THEN 'welfare_unknown' WHEN welfare < 0 THEN 'welfare_negative' WHEN weight IS NULL THEN 'weight_unknown' WHEN weight <= 0 THEN 'weight_not_positive' END AS dropped_by,
+    count(*) AS n FROM clean GROUP BY ALL""",
+)
+def batch_counts(spark, d):
+    return _full_batch(spark, d).counts
+
+
+@query("batch_process", ctes("pfw_bad", "md_bad") + sql_framework("md_bad", alternatives=False).replace("FROM pfw p", "FROM (SELECT * FROM pfw_bad WHERE country_code <> 'NATION_3') p") + _SPLIT.replace("FROM md m", "FROM md_bad m").replace("fw.wt AS welfare_type", "fw.welfare_type") + _CLEAN + _VALID + " " + sql_rounded(_OUT, "valid"))
+def batch_process(spark, d):
+    return rounded(batch.process_batch(view(spark, d, "md_bad"), view(spark, d, "pfw_bad"), "micro").rows)
+
+
+@query(
+    "batch_full",
+    _BATCH + _VALID + _RANKS.format(source="valid") + _WIDE.replace("FROM ppp ", "FROM ppp_bad ") + _PRICED.format(source="levelled") + _POPULATION.format(where=_WHERE) + _ADJUSTED.format(source="priced")
+    + " " + sql_rounded([*_OUT, "reporting_level", *PRICE_COLUMNS, "pop_fact"], "scaled", 6),
+)
+def batch_full(spark, d):
+    return rounded(_full_batch(spark, d).rows, 6)

@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions.schema import MODULES, SURVEY_ID_PARTS
 from surveyloom.operators.checks import SurveyError, require_columns
 from surveyloom.sources.config import Locations
-
-#: Layouts of time stamps, month first.
-TIME_FORMATS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M-d-yyyy H:mm:ss", "M/d/yy H:mm:ss")
+from surveyloom.sources.versions import digest_of, digest_parts, save_version
+
+log = logging.getLogger(__name__)
+
+#: Month first, then day, year, hour, minute and second with anything but digits between them (no letters after the month), or in pairs of digits.
+_MONTH = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t|tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+_HALF = r"\s*(?:([ap])\.?m\.?)?\s*$"
+TIME_PATTERNS = (
+    rf"(?i)^\s*(\d{{1,2}}|{_MONTH})[^0-9A-Za-z]+(\d{{1,2}})\D+(\d{{4}}|\d{{2}})\D+(\d{{1,2}})\D+(\d{{1,2}})\D+(\d{{1,2}}(?:\.\d+)?){_HALF}",
+    rf"(?i)^\s*(\d{{2}})(\d{{2}})(\d{{4}}|\d{{2}})\D*(\d{{2}})(\d{{2}})(\d{{2}}(?:\.\d+)?){_HALF}",
+)
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+#: Years of two digits up to this one are in this century.
+LAST_SHORT_YEAR = 68
 ORDER = ["country_code", "surveyid_year", "survey_acronym", "vermast", "veralt"]
 
 
@@ -29,7 +42,19 @@ def read_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def month_first_time(c: Column) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in TIME_FORMATS])
+    """A time stamp with the month first, as a number or a name; NULL for anything else.
+
+    Separators are free, years have two or four digits, hours are of the day or, with AM or PM, of its half.
+    """
+    found = F.coalesce(*[F.when(c.rlike(p), F.split(F.regexp_replace(c, p, "$1,$2,$3,$4,$5,$6,$7"), ",")) for p in TIME_PATTERNS])
+    part = lambda k: F.get(found, k)
+    number = lambda k: part(k).try_cast("int")
+    named = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(part(0), 1, 3))), F.lit(0))
+    month = F.coalesce(number(0), named.cast("int"))
+    year = F.when(F.length(part(2)) == 4, number(2)).when(number(2) <= LAST_SHORT_YEAR, 2000 + number(2)).otherwise(1900 + number(2))
+    half = F.lower(part(6))
+    hour = F.when(half == "", number(3)).when(number(3).between(1, 12), number(3) % 12 + F.when(half == "p", 12).otherwise(0))
+    return F.try_make_timestamp(year, month, number(1), hour, number(4), part(5).try_cast("decimal(16,6)"))
 
 
 def clean_path(c: Column, root_dir: str) -> Column:
@@ -49,8 +74,12 @@ def survey_id_parts(survey_id: Column) -> dict[str, Column]:
     return {name: F.get(parts, k) for k, name in enumerate(SURVEY_ID_PARTS)}
 
 
-def clean_inventory(raw: DataFrame, root_dir: str = "") -> DataFrame:
-    """Normalised paths, times and survey-id parts; rows with any NULL and other modules are dropped. Not sorted."""
+#: Why a row is left out, in the order in which rules are asked.
+RULES = ("fullname_unknown", "creationtime_unknown", "lastwritetime_unknown", "survey_id_short", "module_other")
+
+
+def judged_inventory(raw: DataFrame, root_dir: str = "") -> DataFrame:
+    """Normalised paths, times and survey-id parts of all rows, and ``dropped_by``: the rule that leaves a row out, NULL for rows that stay."""
     require_columns(raw, ["fullname", "creationtime", "lastwritetime"], "inventory")
     others = [F.coalesce(c, F.lit("")).alias(c) for c in raw.columns if c not in ("fullname", "creationtime", "lastwritetime")]
     named = raw.select(
@@ -59,30 +88,44 @@ def clean_inventory(raw: DataFrame, root_dir: str = "") -> DataFrame:
         month_first_time(F.col("lastwritetime")).alias("lastwritetime"),
         *others,
     ).withColumn("survey_id", survey_id_of(F.col("fullname")))
-    return named.withColumns(survey_id_parts(F.col("survey_id"))).dropna("any").where(F.col("module").isin(MODULES))
+    parts = survey_id_parts(F.col("survey_id"))
+    short = F.size(F.array_compact(F.array(*parts.values()))) < len(parts)
+    broken = (F.col("fullname").isNull(), F.col("creationtime").isNull(), F.col("lastwritetime").isNull(), short, ~F.col("module").isin(MODULES))
+    return named.withColumns(parts).withColumn("dropped_by", F.coalesce(*[F.when(c, rule) for c, rule in zip(broken, RULES, strict=True)], F.lit(None).cast("string")))
+
+
+def clean_inventory(raw: DataFrame, root_dir: str = "") -> DataFrame:
+    """The rows of ``judged_inventory`` that stay. Not sorted."""
+    return judged_inventory(raw, root_dir).where(F.col("dropped_by").isNull()).drop("dropped_by")
+
+
+def inventory_losses(judged: DataFrame) -> DataFrame:
+    """(dropped_by, n): rows by the rule that leaves them out."""
+    return judged.where(F.col("dropped_by").isNotNull()).groupBy("dropped_by").agg(F.count(F.lit(1)).alias("n"))
 
 
 def digest(df: DataFrame) -> str:
     """A digest of rows and schema that doesn't depend on the rows' order."""
-    row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
-    return f"{row[0]}:{row[1]}:{df.schema.simpleString()}"
+    row = df.agg(*digest_parts(df.columns)).first()
+    return digest_of(row[0], row[1], df.schema)
 
 
-def save_if_changed(df: DataFrame, path: str, force: bool = False) -> bool:
-    """Write ``df`` as Parquet if it differs from what is stored there (or ``force``); whether it was written."""
-    spark = df.sparkSession
-    df = df.select("*")
-    if not force and path_exists(spark, path):
-        stored = spark.read.parquet(path)
-        if digest(stored) == digest(df):
-            return False
-    df.write.mode("overwrite").parquet(path)
-    return True
+def save_if_changed(df: DataFrame, path: str, force: bool = False, notes: dict[str, int] | None = None) -> bool:
+    """Save ``df`` as a new version of a table (see ``sources.versions``) if it differs from the current one (or ``force``); whether it was saved."""
+    return save_version(df.select("*"), path, force, notes)
 
 
 def update_inventory(spark: SparkSession, inventory_csv: str, out_path: str, root_dir: str = "", force: bool = False) -> bool:
-    """Read, normalise, sort and save the inventory; whether it had changed."""
-    return save_if_changed(clean_inventory(read_inventory(spark, inventory_csv), root_dir).orderBy(*ORDER), out_path, force)
+    """Read, normalise, sort and save the inventory; whether it had changed.
+
+    Rows that are left out are counted by rule, in a warning and in the notes of the saved version.
+    """
+    judged = judged_inventory(read_inventory(spark, inventory_csv), root_dir)
+    losses = {r.dropped_by: r.n for r in inventory_losses(judged).collect()}
+    if losses:
+        log.warning("inventory rows left out: %s", ", ".join(f"{rule} {losses[rule]}" for rule in RULES if rule in losses))
+    rows = judged.where(F.col("dropped_by").isNull()).drop("dropped_by").orderBy(*ORDER)
+    return save_if_changed(rows, out_path, force, losses)
 
 
 def update_survey_inventory(spark: SparkSession, root: str | None = None, raw: str | None = None, force: bool = False) -> bool:

@@ -11,7 +11,7 @@ from surveyloom.operators import checks, clean, enrich, framework, population, p
 from surveyloom.plans import pipeline
 from surveyloom.plans.adapters import view
 from surveyloom.plans.results import captured
-from surveyloom.sources import inventory, surveys
+from surveyloom.sources import inventory, surveys, versions
 from surveyloom.sources.config import Locations
 
 PFW = (
@@ -228,7 +228,7 @@ def test_inventory(spark, tmp_path):
     )
     out = str(tmp_path / "out")
     assert inventory.update_inventory(spark, str(csv), out, "D:/raw/") is True
-    rows = spark.read.parquet(out).orderBy("country_code").collect()
+    rows = versions.read_version(spark, out).orderBy("country_code").collect()
     assert [r.survey_id for r in rows] == ["AAA_2010_SUR_V01_M_V02_A_COL_HIST", "BBB_2010_SUR_V01_M_V02_A_COL_GPWG"]
     assert rows[0].fullname == "A/AAA_2010_SUR_V01_M_V02_A_COL_HIST.dta" and rows[0].note == "" and rows[0].module == "HIST"
     assert str(rows[0].creationtime) == "2020-01-02 15:04:05"
@@ -277,7 +277,7 @@ def test_locations(spark, tmp_path, monkeypatch):
     (tmp_path / "raw" / "_Inventory").mkdir(parents=True)
     (tmp_path / "raw" / "_Inventory" / "DLWRAW_all_DTAs.csv").write_text(f"FullName,CreationTime,LastWriteTime\n{tmp_path}/raw/AAA_2010_SUR_V01_M_V02_A_COL_GPWG.dta,1/2/2020 3:04:05 PM,1/2/2020 3:04:05 PM\n")
     assert [inventory.update_survey_inventory(spark) for _ in range(2)] == [True, False] and inventory.update_survey_inventory(spark, force=True)
-    assert spark.read.parquet(at.inventory_table).first().fullname == "/raw/AAA_2010_SUR_V01_M_V02_A_COL_GPWG.dta"
+    assert versions.read_version(spark, at.inventory_table).first().fullname == "/raw/AAA_2010_SUR_V01_M_V02_A_COL_GPWG.dta"
 
 
 def test_files_are_written_in_order(spark, tmp_path):
@@ -298,7 +298,7 @@ def test_repeated_prices_are_errors_without_validation_too(spark):
         enrich.ppp_to_wide(spark.createDataFrame([row, row], schema), ["ppp_2017_01_02"], validate=False).collect()
     cpi = spark.createDataFrame([("AAA", 2012.0, "S", "national", 1.0)] * 2, "country_code string, survey_year double, survey_acronym string, cpi_data_level string, cpi2017 double")
     with pytest.raises(Exception, match="CPI isn't unique"):
-        enrich.one_of_each(cpi, enrich.CPI_KEY, "CPI").collect()
+        checks.unique_in_plan(cpi, enrich.CPI_KEY, "CPI").collect()
 
 
 def test_population_windows_are_the_plain_operators(spark):
@@ -321,3 +321,73 @@ def test_population_windows_are_the_plain_operators(spark):
     assert set(got) >= set(want) and len(got) == 16
     for key, fact in got.items():
         assert fact == (pytest.approx(want[key]) if key[0] not in "EF" and want.get(key) is not None else None), key
+
+
+def test_repeated_framework_keys_stop_the_run_itself(spark, pfw):
+    df = micro(spark, [one(), one("BBB"), one("CCC")])
+    twice = pfw(pfw_row(), pfw_row("BBB"), pfw_row("BBB", used=0), pfw_row("CCC"))
+    with pytest.raises(Exception, match=r"framework isn't unique by country_code.*\[BBB, 2012.0, SUR\] occurs 2 times"):
+        pipeline.process_data(df, twice, "micro", validate=False).collect()
+    alike = pfw(pfw_row(), pfw_row("BBB", other="Income", var="welfare"), pfw_row("CCC", used=0, other="Income", var="welfare"))
+    with pytest.raises(Exception, match=r"both measures of \[BBB, 2012.0, SUR\] have one type"):
+        split.split_alt_welfare(df, framework.all_frameworks(alike)).select("hhid").collect()
+    # only the second measure matters here, and surveys out of use don't
+    assert pipeline.process_data(df, alike, "micro", validate=False).count() == 2
+
+
+def test_a_guard_is_no_job_of_its_own(spark, pfw):
+    df, fw = micro(spark, [one()]), pfw(pfw_row(), pfw_row())
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("guard", "guard")
+    rows = pipeline.process_data(df, fw, "micro", validate=False)
+    assert tracker.getJobIdsForGroup("guard") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(Exception, match="isn't unique"):
+        rows.write.format("noop").mode("overwrite").save()
+
+
+def test_null_survey_keys_meet_nothing(spark, pfw):
+    df = micro(spark, [one(None), one()])
+    rows = split.with_framework(df, framework.all_frameworks(pfw(pfw_row(None), pfw_row())))
+    assert [r.country_code for r in rows.collect()] == ["AAA"]
+
+
+def test_the_split_reads_only_columns_that_the_framework_names(spark, pfw, tmp_path, capsys):
+    wide = micro(spark, [one("AAA"), one("BBB")]).withColumns({f"v{k}": F.lit(float(k)) for k in range(200)})
+    wide.write.parquet(str(tmp_path / "wide"))
+    df = spark.read.parquet(str(tmp_path / "wide"))
+    fw = pfw(pfw_row(other="c", var="v17"), pfw_row("BBB", other="c", var="v42"), pfw_row("DDD", other="c", var="elsewhere"))
+    assert split.alternative_columns(df, fw) == ["v17", "v42"]
+    rows = split.split_alt_welfare(df, framework.all_frameworks(fw)).select("cache_id", "welfare")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    rows.explain()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [x for x in capsys.readouterr().out.split("ReadSchema: struct<")[1:] if "welfare:" in x.split(">")[0]]
+    assert scans and all({c.split(":")[0] for c in x.split(">")[0].split(",") if c.startswith("v")} == {"v17", "v42"} for x in scans)
+    assert sorted(r.welfare for r in rows.collect()) == [17.0, 42.0, 365.0, 365.0]
+
+
+@pytest.mark.parametrize("var", ["nowhere", "hhid", "", None])
+def test_a_second_measure_without_a_column_is_an_error(spark, pfw, var):
+    df = micro(spark, [one(), one("BBB")])
+    fw = framework.all_frameworks(pfw(pfw_row(), pfw_row("BBB", other="c", var=var)))
+    assert split.split_alt_welfare(df.where("country_code = 'AAA'"), fw).count() == 1
+    with pytest.raises(Exception, match="for the second measure of BBB_2012_SUR_D2_CON_GPWG"):
+        split.split_alt_welfare(df, fw).collect()
+
+
+def test_the_framework_prunes_folders(spark, sf_dir, tmp_path, capsys):
+    view(spark, sf_dir, "md").write.partitionBy("country_code", "surveyid_year").parquet(str(tmp_path / "md"))
+    for name in ("pfw", "cpi", "ppp", "pop"):
+        view(spark, sf_dir, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    aux = {n: surveys.load_auxiliary(spark, str(tmp_path), n) for n in surveys.AUXILIARY}
+    names = [r[0] for r in view(spark, sf_dir, "md").join(aux["pfw"].where("inpovcal = 1"), SURVEY_KEY).select("country_code").distinct().orderBy("country_code").limit(2).collect()]
+    few = aux["pfw"].where(F.col("country_code").isin(names))
+    df = surveys.load_surveys(spark, str(tmp_path / "md"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        out = pipeline.full_chain(df, few, aux["cpi"], aux["ppp"], aux["pop"], "micro", validate=False)
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "dynamicpruning#" in plan
+    assert {r.country_code for r in out.select("country_code").distinct().collect()} == set(names) and len(names) == 2
