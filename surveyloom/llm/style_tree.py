@@ -15,12 +15,18 @@ a host repeats loses its importance little by little as pages are added.
 On a page a block is worth its node's content importance times the mean of 1
 and the largest layout importance around it. A branch is worth the mean of what
 is kept in it, times what its purpose gives it beforehand: 1, less for what
-stands outside the page's article and for what is named like a menu, advert,
+stands outside the page's articles and for what is named like a menu, advert,
 comment and so on. In each element, what is worth less than ``RATIO`` of the
 best that the element holds is removed. As branches are only compared with what
 stands beside them, an element that wraps the whole page is never removed, by
 whatever name, and pages that are all alike lose nothing.
 
+Headings, labels and the parts of lists and tables are no branches of their own:
+they stay or go with the list, table or element around them. All articles of a
+page count, and so does the text of its main part beside them. A class or id
+names noise only if it says nothing else: ``related-posts`` does, ``related-work``
+doesn't.
+
 Menus, footers, asides, dialogs, page headers and ARIA landmarks are worth
 nothing by their tag or role, so they go on every page.
 
@@ -76,8 +82,15 @@ NAMES = frozenset(
     " disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promotion promoted"
     " recommended recommendations related replies respond search share sharing sidebar sidenav signup social sponsor sponsored subscribe tagcloud toolbar topbar widget widgets".split()
 )
+#: Words that may stand beside them in such a name; any other word makes it the name of something else (related-work, share-price).
+PLACES = frozenset(
+    "area bar block body bottom box btn button buttons center col column container content count form group head heading icon icons inner item items label left link links list"
+    " main module outer panel post posts primary right row secondary section site slot text title top unit wrap wrapper".split()
+)
 TURNED = frozenset("no not non has with without open closed enabled disabled".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: No branches of their own: headings, labels, and the parts of lists and tables, which stay or go with what they belong to.
+PARTS = HEADINGS | frozenset("caption dd dt figcaption label legend li summary tbody td tfoot th thead tr".split())
 
 
 #: Kinds of elements: text, named like noise, noise by tag or role, never seen.
@@ -95,11 +108,11 @@ class Page:
 
 
 def noise_words(value: str) -> set[str]:
-    """Words of a class or id that name noise."""
+    """Words of a class or id that name noise: those of names that say nothing else."""
     found: set[str] = set()
     for name in value.split():
-        words = set(re.split(r"[^a-z]+", name))
-        if TURNED.isdisjoint(words):
+        words = set(re.findall(r"[a-z]+", name))
+        if words <= NAMES | PLACES and TURNED.isdisjoint(words):
             found |= words & NAMES
     return found
 
@@ -250,14 +263,15 @@ def worth_beforehand(page: Page) -> tuple[list[float], list[float]]:
         up = parent[e]
         size[up] += size[e]
         inner[up] |= inner[e] or plain[e] and tag[e] not in INLINE
-    # articles with text: unmarked and not in noise, else at least not in what is noise by tag
-    mains: list[int] = []
-    for most in (TEXT, LIKE_NOISE):
-        for name in ("article", "main"):
-            mains = mains or [e for e in range(1, n) if tag[e] == name and kind[e] == TEXT and noise[e] <= most and size[e]]
-    longest = max((size[e] for e in mains), default=0)
-    # a teaser beside the article is worth its share of the article's length
-    own_worth = {e: max(OUTSIDE, size[e] / longest) for e in mains}
+    # articles and main parts with text, unmarked and not in noise: all of them, however short
+    found = [e for e in range(1, n) if tag[e] in ("article", "main") and kind[e] == TEXT and size[e]]
+    own_worth = dict.fromkeys((e for e in found if noise[e] == TEXT), 1.0)
+    if not own_worth:
+        # else those in what is named like noise, by their share of the longest one's length
+        found = [e for e in found if noise[e] == LIKE_NOISE]
+        longest = max((size[e] for e in found), default=0)
+        own_worth = {e: max(OUTSIDE, size[e] / longest) for e in found}
+    mains = list(own_worth)
     holds = [False] * n
     for e in mains:
         up = parent[e]
@@ -327,7 +341,7 @@ def parsed_row(text: str) -> dict:
     branch, own = worth_beforehand(page)
     seen = sorted(observations(page))
     return {
-        "parent": page.parent, "path": page.path, "branch": branch, "own": own, "heading": [t in HEADINGS for t in page.tag],
+        "parent": page.parent, "path": page.path, "branch": branch, "own": own, "heading": [t in PARTS for t in page.tag],
         "owner": [e for e, _ in page.blocks], "block": [x for _, x in page.blocks], "node": [k for k, _ in seen], "value": [v for _, v in seen],
     }
 

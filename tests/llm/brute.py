@@ -153,6 +153,10 @@ def style_tree(pages):
     return out
 
 
+#: Headings, labels and parts of lists and tables.
+WHOLE = ("h1", "h2", "li", "th", "td", "tr", "dt", "dd", "caption")
+
+
 def site_text(html, tree, ratio=0.3, share=0.05):
     """Text of a page without the branches whose importance is low beside that of their neighbours."""
 
@@ -166,7 +170,7 @@ def site_text(html, tree, ratio=0.3, share=0.05):
             parts.append((None, tree.get(path, (1, 1.0, 1.0))[1] * (1 + layout) / 2, sum(map(len, own)), own))
         total = sum(p[2] for p in parts)
         best = max((p[1] for p in parts if p[2] >= share * total), default=0)
-        stay = [p for p in parts if p[1] >= ratio * best or p[0] and p[0][0] in ("h1", "h2")]
+        stay = [p for p in parts if p[1] >= ratio * best or p[0] and p[0][0] in WHOLE]
         chars = sum(p[2] for p in stay)
         texts = {id(p[0]): p[3] for p in stay}
         out = []

@@ -708,7 +708,12 @@ def text_of(html, tree=None):
         ('<script>var t="</p>";</script><p>x &lt; y  &nbsp; z</p><!-- c > --><style>p{}</style>', "x < y z"),
         ("<form><main><p>hi</p></main></form>", "hi"),
         ("<p>fo<b>o</b>l</p>\n a < b <p title='a>b'>q", "fool a < b q"),
-        ("<article>short</article><article>the longest article here</article>", "the longest article here"),
+        ("<article>short</article><article>the longest article here</article>", "short the longest article here"),
+        # names that say more than noise, short articles, and the main part beside an article
+        ('<article><div class="related-work"><p>a</p></div><section id="copyright-law">b</section><div id="social-history">c</div><p class="share-price">d</p></article>', "a b c d"),
+        ('<article><div class="related-posts"><p>a</p></div><section id="share_buttons">b</section><div id="comments-area2">c</div><p class="Sponsored">d</p>e</article>', "e"),
+        ("<article>" + "one " * 20 + "</article><article>" + "two " * 90 + "</article>", ("one " * 20 + "two " * 90).strip()),
+        ("<nav>n</nav><main><p>before</p><article>a b c</article><p>after</p><div class=comments>r</div></main><p>out</p>", "before a b c after"),
         ("<div><p hidden>no</p><p>yes</p></div><div role='navigation'>n</div>", "yes"),
         ("<article><p>unclosed <b>tag", "unclosed tag"),
         ("</div></p><<>< /p><a href=", "<<>< /p><a href="),
@@ -799,6 +804,27 @@ def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, host string")
 
 
+def test_notices_in_articles(spark):
+    """Where pages have an article the tree removes what a site repeats in it, and leaves labels, tables and lists whole."""
+    rng = random.Random(34)
+    notice = " ".join(prose(rng, 14).split())
+    rows, pages = [], []
+    for k in range(20):
+        text = lambda n: " ".join(prose(rng, n).split())  # noqa: E731, B023
+        table = "<table><tbody>" + "".join(f"<tr><th>{name}</th><td>{text(3)}</td></tr>" for name in ("Population", "Area")) + "</tbody></table>"
+        terms = "<dl>" + "".join(f"<dt>{name}</dt><dd>{text(6)}</dd>" for name in ("First seen", "Last seen")) + "</dl>"
+        steps = "<h2>Ingredients</h2><ul>" + f"<li>salt</li><li>{text(4)}</li>" + "</ul>"
+        pages.append(f"<body><article><h1>{text(4)}</h1><p>{text(40)}</p><div class=k><p>{notice}</p></div>{table}{terms}{steps}<p>{text(30)}</p></article></body>")
+        rows.append((k, f"http://h/{k}", pages[-1], "x"))
+    got = {r.page_id: r.text for r in style_tree.extract_main_text(pages_of(spark, rows)).collect()}
+    tree = brute.style_tree(pages)
+    assert got == {k: brute.site_text(html, tree) for k, html in enumerate(pages)}
+    for k, html in enumerate(pages):
+        # everything but the notice, which one page alone would keep
+        assert notice in text_of(html) and got[k] == text_of(html.replace(f"<div class=k><p>{notice}</p></div>", ""))
+        assert all(x in got[k] for x in ("Population", "Area", "First seen", "Last seen", "Ingredients", "salt"))
+
+
 def test_rare_noise_does_not_take_an_article(spark):
     """Half of a site's pages are copies of one page: what they share stays, being no less worth than what stands beside it."""
     rng = random.Random(33)
