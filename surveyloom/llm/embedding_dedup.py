@@ -88,7 +88,7 @@ def prepared(vectors: DataFrame) -> tuple[DataFrame, str]:
                 raw = None
                 if key is not None and label is not None and values.is_valid and len(values) and values.values.null_count == 0:
                     x = values.values.to_numpy(zero_copy_only=False).astype(kind)
-                    if np.isfinite(x).all() and 0 < np.linalg.norm(x.astype("<f8")) < np.inf:
+                    if np.isfinite(x).all() and x.any():
                         raw = (x + x.dtype.type(0)).tobytes()
                 raws.append(raw)
                 digests.append(None if raw is None else xxhash.xxh3_128_digest(raw))
@@ -108,6 +108,8 @@ def number(text: str) -> int:
 def unit(raws, kind: str) -> np.ndarray:
     """The vectors of one cell, each of length 1."""
     x = np.frombuffer(b"".join(raws), kind).astype("<f8").reshape(len(raws), -1)
+    # by the largest component first: squares of huge and tiny ones leave the range of a double
+    x /= np.abs(x).max(1, keepdims=True)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 

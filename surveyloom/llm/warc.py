@@ -29,7 +29,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.llm.tables import shared_dir, table, written
@@ -294,17 +294,27 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return single.unionByName(segmented).mapInArrow(decoded, PAGE)
 
 
+def verified_digest() -> Column:
+    """The payload's digest, over rows of ``read_warc``; an error where segments are missing, framing is broken or the payload is another one."""
+    named = F.coalesce("record_id", F.lit("a record without an id"))
+    broken = F.raise_error(F.concat(named, F.lit(": a segment is missing or its framing is broken")))
+    other = F.raise_error(F.concat(named, F.lit(": the payload isn't that of its digest")))
+    whole = F.when(F.col("record_type") == "revisit", F.col("payload_digest")).when(F.sha2("payload", 256) == F.col("payload_digest"), F.col("payload_digest"))
+    return F.when(~F.col("complete"), broken.cast("string")).otherwise(F.coalesce(whole, other.cast("string")))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(table(spark, sf_dir, "pages"), path)
-    back = read_warc(spark, path).withColumn("digest", F.when(F.col("record_type") == "response", F.sha2("payload", 256)).otherwise(F.col("payload_digest")))
+    back = read_warc(spark, path).withColumn("digest", verified_digest())
     page_id = lambda c: F.split(c, ":")[2].try_cast("long")
     seen = written(
         back.select("record_id", "record_type", "digest", "refers_to", F.octet_length("payload").cast("long").alias("own_bytes")), "warc-read"
     )
     of = seen.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("own_bytes").alias("first_bytes"))
+    lost = F.raise_error(F.concat("record_id", F.lit(": the record that it refers to is missing"))).cast("long")
     return seen.join(of, "refers_to", "left").select(
-        page_id("record_id").alias("page_id"), F.coalesce("own_bytes", "first_bytes").alias("payload_bytes"),
+        page_id("record_id").alias("page_id"), F.coalesce("own_bytes", "first_bytes", lost).alias("payload_bytes"),
         F.col("digest").alias("payload_digest"), "record_type", page_id("refers_to").alias("refers_to"),
     )
 

@@ -1,5 +1,6 @@
 """The training-data operators against plain versions, exact round trips and edge cases."""
 
+import gzip
 import hashlib
 import random
 import zlib
@@ -85,6 +86,17 @@ def test_embedding_edge_cases(spark):
     assert embedding_dedup.near_duplicates(embeddings(spark, [])).count() == 0
 
 
+def test_huge_and_tiny_vectors(spark):
+    rows = [
+        (1, [1e200, 1e200]), (2, [1e200, 1e200]), (3, [1e-200, 1e-200]), (4, [3.0, 3.0]), (5, [1e308, -1e308]), (6, [5e-324, -5e-324]), (7, [1e200, 1e-200]), (8, [2.0, 0.0]), (9, [0.0, 0.0]),
+        (10, [1e308, 9e307]), (11, [1e-310, 9e-311]),
+    ]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df).collect()}
+    same = {1, 2, 3, 4, 10, 11}
+    assert got == {i: (5, 1) if i in same else (1, 5) if i in (5, 6) else (1, 7) if i in (7, 8) else (0, i) for i, _ in rows}
+
+
 @pytest.mark.parametrize("handed", [1 << 25, 0])
 def test_embedding_forest_against_brute_force(spark, monkeypatch, handed):
     # with and without trees that every task gets
@@ -301,6 +313,47 @@ def test_warc_segments_are_checked():
     assert warc.whole_block([part(1, block)], None) is None
 
 
+@pytest.mark.parametrize(
+    "change,message",
+    [
+        (lambda raw: raw, None),
+        (lambda raw: raw.replace(b"word 77,", b"word 78,", 1), "isn't that of its digest"),
+        (lambda raw: without(raw, b"WARC-Segment-Number: 2"), "a segment is missing"),
+        (lambda raw: without(raw, b"WARC-Segment-Number: 1"), "a segment is missing"),
+        (lambda raw: without(raw, b"/first"), "is missing"),
+    ],
+)
+def test_damaged_archives_are_errors(spark, tmp_path, monkeypatch, change, message):
+    html = "".join(f"<p>word {k}, </p>" for k in range(2 * warc.SEGMENT // 15))
+    small = "<p>first</p>" * 20
+    rows = [(1, "http://h/long", html), (2, "http://h/first", small), (3, "http://h/again", small)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    write = warc.write_warc
+
+    def damaged(pages, path):
+        write(pages, path)
+        for file in sorted((tmp_path / "shared").rglob("*.gz")):
+            file.write_bytes(gzip.compress(change(gzip.decompress(file.read_bytes()))))
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+
+    monkeypatch.setattr(warc, "shared_dir", lambda _: f"file://{tmp_path}/shared")
+    monkeypatch.setattr(warc, "write_warc", damaged)
+    if message is None:
+        assert {r.page_id: r.record_type for r in warc.op3_warc(spark, str(tmp_path)).collect()} == {1: "response", 2: "response", 3: "revisit"}
+    else:
+        with pytest.raises(Exception, match=message):
+            warc.op3_warc(spark, str(tmp_path)).collect()
+
+
+def without(raw, mark):
+    """An archive without the records whose head holds a mark."""
+    out = []
+    for record in raw.split(warc.START)[1:]:
+        if mark not in record.split(b"\r\n\r\n")[0]:
+            out.append(warc.START + record)
+    return b"".join(out)
+
+
 @pytest.mark.parametrize("body,payload", [(b"3\r\nabc\r\n0\r\n\r\n", b"abc"), (b"1;x=y\r\na\r\nA\r\n0123456789\r\n0\r\nT: v\r\n\r\n", b"a0123456789"), (b"3\r\nab", None), (b"zz\r\n", None), (b"3\r\nabcd\r\n0\r\n\r\n", None)])
 def test_chunked_framing(body, payload):
     assert warc.unchunked(body) == payload
