@@ -630,6 +630,41 @@ def test_compression_bands_equal_a_plain_version():
     assert quality_rules.compression(good, squeeze)[2:] == (0, 2) and quality_rules.compression(good[:4096] + noise(900), squeeze)[2:] == (1, 2)
 
 
+def test_limits_are_fitted_to_all_good_documents(spark):
+    rng = random.Random(61)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    drawn = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    rows = [(k, drawn(rng.choice([60, 300, 900, 3000, 9000, 40_000]), letters[: rng.randrange(4, 26)] + " ")) for k in range(60)] + [(90, "a" * 5000), (91, drawn(9000, "".join(map(chr, range(256, 900))))), (92, None), (93, "")]
+    good = spark.createDataFrame([(k, 1) for k in range(60)] + [(92, 1), (93, 1), (500, 1)], "doc_id long, quality int")
+    fitted = quality_rules.fit_limits(docs(spark, rows).repartition(4), good, margin=0.01)
+    squeeze = zstandard.ZstdCompressor(level=quality_rules.ZSTD_LEVEL).compress
+    raws = [t.encode() for _, t in rows[:60]]
+    top = max(len(x) / len(squeeze(x)) * 1.01 - 0.1 * quality_rules.doublings(len(x)) for x in raws)
+    assert fitted.repetitive_base == pytest.approx(top) and fitted.repetitive_step == 0.1
+    for k, (low, high) in enumerate([(0, 512), (512, 2048), (2048, 1 << 40)]):
+        assert fitted.incompressible[k][1] == pytest.approx(min(len(x) / len(squeeze(x)) for x in raws if low <= len(x) < high) * 0.99)
+    # all good documents keep the limits fitted to them, the others don't
+    assert all(quality_rules.compression(x, squeeze, fitted)[0] for x in raws)
+    assert not quality_rules.compression(rows[60][1].encode(), squeeze, fitted)[0]
+    judged = {r.doc_id: r.n_chunks for r in quality_rules.quality_rules(docs(spark, rows), fitted).collect()}
+    assert judged[90] == 2 and {r.doc_id for r in quality_rules.keep_good(docs(spark, rows), fitted).collect()} <= set(range(60))
+    assert quality_rules.fit_limits(docs(spark, []), good) == quality_rules.Limits()
+
+
+def test_quality_of_a_very_long_text(spark):
+    rng = random.Random(62)
+    long = prose(rng, 400_000, words=60_000)
+    (row,) = quality_rules.quality_rules(docs(spark, [(1, long)])).collect()
+    words = quality_rules.WORD.findall(long)
+    assert (row.n_words, row.word_chars, row.n_chunks) == (len(words), sum(map(len, words)), -(-len(long.encode()) // 4096)) and not row.base_failed
+    assert row.n_dup_lines == brute_lines(long)
+
+
+def brute_lines(text):
+    lines = [x for x in text.split("\n") if quality_rules.WORD.search(x)]
+    return len(lines) - len(set(lines))
+
+
 def test_compression_bands(spark):
     rng = random.Random(1)
     import base64
