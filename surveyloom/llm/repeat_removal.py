@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from surveyloom.llm.blocks import mix, portions, ranges, runs, texts
+from surveyloom.llm.blocks import lean_batches, lean_group, mix, portions, ranges, runs, texts
 from surveyloom.llm.ngram_join import LETTER, TOKEN_BITS, from_six, powers, six
 from surveyloom.llm.tables import quoted, settled, table, written
 
@@ -176,7 +176,7 @@ def anchor_blocks(docs: DataFrame, parts: int) -> DataFrame:
         if keys:
             yield from out()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(blocks, ANCHORS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean_batches(blocks), ANCHORS)
 
 
 FOUND = "kind int, part int, docs binary, counts binary, places binary, uid long, doc_id long, n long, sha string"
@@ -331,7 +331,7 @@ def surrounding_blocks(marked: DataFrame, parts: int, places: int) -> DataFrame:
         if kept:
             yield from out()
 
-    return marked.select("uid", "doc_id", "text", "places").mapInArrow(blocks, SENT)
+    return marked.select("uid", "doc_id", "text", "places").mapInArrow(lean_batches(blocks), SENT)
 
 
 def common(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -389,10 +389,11 @@ def covered_spans(around: np.ndarray, data: np.ndarray) -> np.ndarray:
     # numbers in the order of the corpus
     rank = np.empty(len(around), np.int64)
     rank[np.lexsort((around["pos"], around["uid"], around["id"], around["null"]))] = np.arange(len(around))
-    right, left = data[:, LEFT:], data[:, LEFT - 1 :: -1] if LEFT else data[:, :0]
-    right = np.ascontiguousarray(right)
+    right = np.ascontiguousarray(data[:, LEFT:])
     order = np.argsort(right.view(f"S{LENGTH}").ravel(), kind="stable")
-    right, left, around, rank = right[order], np.ascontiguousarray(left[order]), around[order], rank[order]
+    right, around, rank = right[order], around[order], rank[order]
+    left = np.ascontiguousarray(data[order, LEFT - 1 :: -1] if LEFT else data[order, :0])
+    del data
     right_n, left_n = around["right"].astype(np.int64), around["left"].astype(np.int64)
     seed = np.ascontiguousarray(right[:, :SEED]).view(f"V{SEED}").ravel()
     starts, sizes = runs(seed)
@@ -412,16 +413,21 @@ def covered_spans(around: np.ndarray, data: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def spans_of_part(key: tuple, group: pd.DataFrame, places: int) -> pd.DataFrame:
-    part = int(key[0])
-    if part < 0:
-        return group[["part", "rows"]].assign(part=-1 - part)
+def occurrences(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(places, bytes around them) of one part."""
     unsqueeze = zstandard.ZstdDecompressor().decompress
     around = np.frombuffer(b"".join(group["rows"]), AROUND)
     data = np.frombuffer(b"".join(map(unsqueeze, group["bytes"])), np.uint8).reshape(-1, LEFT + LENGTH)
     # a row that was read twice is one occurrence
     _, once = np.unique(around[["uid", "pos"]], return_index=True)
-    found = covered_spans(around[once], data[once])
+    return (around, data) if len(once) == len(around) else (around[once], data[once])
+
+
+def spans_of_part(key: tuple, group: pd.DataFrame, places: int) -> pd.DataFrame:
+    part = int(key[0])
+    if part < 0:
+        return group[["part", "rows"]].assign(part=-1 - part)
+    found = covered_spans(*occurrences(group))
     return pd.DataFrame(list(spans_by_part(found, places)), columns=["part", "rows"])
 
 
@@ -442,7 +448,7 @@ def windows(around: DataFrame) -> DataFrame:
                     columns = [h[:, 0], h[:, 1], own["null"] != 0, own["id"], own["uid"], own["pos"] - k]
                     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["h1", "h2", "null", "id", "uid", "start"])
 
-    found = around.mapInArrow(rows, "h1 long, h2 long, null boolean, id long, uid long, start int")
+    found = around.mapInArrow(lean_batches(rows), "h1 long, h2 long, null boolean, id long, uid long, start int")
     return found.select("h1", "h2", F.struct("null", "id", "uid", "start").alias("at"))
 
 
@@ -480,12 +486,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     docs = settled(docs.select("doc_id", "text"), "documents")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // TEXT_A_PARTITION))
-    found = anchor_blocks(docs, parts).groupBy("part").applyInPandas(lambda k, g: repeated_anchors(k, g, parts), FOUND)
+    found = anchor_blocks(docs, parts).groupBy("part").applyInPandas(lean_group(lambda k, g: repeated_anchors(k, g, parts)), FOUND)
     found = written(found, "anchors")
     own = found.where("kind = 0").select("uid", "doc_id", "n", "sha")
     first = own.groupBy("sha").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "uid"))["uid"].alias("first"))
     own = written(own.join(first, "sha").select("uid", "doc_id", "n", "sha", (F.col("uid") == F.col("first")).alias("is_first")), "texts")
-    places = found.where("kind = 1").select("part", "docs", "counts", "places").groupBy("part").applyInPandas(places_of_docs, "uid long, places binary, n_places long")
+    places = found.where("kind = 1").select("part", "docs", "counts", "places").groupBy("part").applyInPandas(lean_group(places_of_docs), "uid long, places binary, n_places long")
     marks = written(places.join(own.where("is_first").select("uid", "doc_id", "sha"), "uid"), "marks")
     sent = (marks.agg(F.sum("n_places")).first()[0] or 0) * (LEFT + LENGTH)
     text = docs.select(F.col("doc_id").cast("long").alias("id"), "text").withColumn("text_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
@@ -496,10 +502,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     hot = written(hot.where(F.col("bytes") > HOT_PLACES * AROUND.itemsize).select("part"), "hot-parts")
     none_hot = hot.isEmpty()
     few = around if none_hot else around.join(hot, "part", "left_anti")
-    spans = few.groupBy("part").applyInPandas(lambda k, g: spans_of_part(k, g, parts), "part int, rows binary")
+    spans = few.groupBy("part").applyInPandas(lean_group(lambda k, g: spans_of_part(k, g, parts)), "part int, rows binary")
     if not none_hot:
         spans = spans.unionByName(spans_of_windows(around.join(hot, "part", "left_semi").select("part", "rows", "bytes"), parts))
-    spans = spans.groupBy("part").applyInPandas(united, "uid long, n_removed long, n_spans long, starts array<int>, ends array<int>")
+    spans = spans.groupBy("part").applyInPandas(lean_group(united), "uid long, n_removed long, n_spans long, starts array<int>, ends array<int>")
     spans = written(spans, "spans")
     copy = ~F.col("is_first") & (F.col("n") >= LENGTH)
     return own.join(spans, "uid", "left").select(
@@ -529,7 +535,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     n = F.col("n").alias("n_bytes")
     left = both.select("doc_id", "sha", n, "n_removed", "n_spans", "text", "starts", "ends").mapInArrow(
-        cut, "doc_id long, sha string, n_bytes long, n_removed long, n_spans long, kept binary"
+        lean_batches(cut), "doc_id long, sha string, n_bytes long, n_removed long, n_spans long, kept binary"
     )
     whole = spans.where("n_removed = 0 OR n_removed = n")
     empty = F.when(F.col("n_removed") > 0, F.lit(b"")).alias("kept")
@@ -586,4 +592,4 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
             columns = [pa.array(out, pa.string()) if k == at else batch.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=plain.names).filter(pa.array(keep, pa.bool_()))
 
-    return wide.mapInArrow(cut, plain).toDF(*names)
+    return wide.mapInArrow(lean_batches(cut), plain).toDF(*names)
