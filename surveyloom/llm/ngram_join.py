@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from surveyloom.llm.blocks import from_gaps, gaps, mix, portions, ranges, runs, texts
+from surveyloom.llm.blocks import from_gaps, gaps, lean_batches, lean_group, mix, portions, ranges, runs, texts
 from surveyloom.llm.components import components
 from surveyloom.llm.tables import quoted, settled, table, written
 
@@ -184,7 +184,7 @@ def shingle_blocks(docs: DataFrame, parts: int) -> DataFrame:
         if keys:
             yield from out()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(blocks, BLOCKS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean_batches(blocks), BLOCKS)
 
 
 def frequencies(parts: int):
@@ -387,8 +387,8 @@ def joined_rows(docs: DataFrame) -> DataFrame:
     docs = settled(docs.select("doc_id", "text"), "documents")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // TEXT_A_PARTITION))
-    counted = shingle_blocks(docs, parts).groupBy("part").applyInPandas(spread_docs(parts), BLOCKS)
-    sets = written(counted.groupBy("part").applyInPandas(ordered_sets, SETS), "sets")
+    counted = shingle_blocks(docs, parts).groupBy("part").applyInPandas(lean_group(spread_docs(parts)), BLOCKS)
+    sets = written(counted.groupBy("part").applyInPandas(lean_group(ordered_sets), SETS), "sets")
 
     classes = written(sets.where("n > 0").groupBy("d1", "d2").agg(F.min("uid").alias("rep")), "set-classes")
     firsts = sets.where("prefix IS NOT NULL").join(classes.select(F.col("rep").alias("uid")), "uid", "left_semi")
@@ -410,7 +410,7 @@ def joined_rows(docs: DataFrame) -> DataFrame:
         .select("cand", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "blocks", "uid")
         .join(sets.select("uid", "n", "keys"), "uid")
     )
-    links = dealt.select(*task_of(tasks), "*").groupBy("task", "own", "low", "high").applyInPandas(links_of_groups, "uid long, root long")
+    links = dealt.select(*task_of(tasks), "*").groupBy("task", "own", "low", "high").applyInPandas(lean_group(links_of_groups), "uid long, root long")
     joined = components(written(links, "links").select(F.col("uid").alias("u"), F.col("root").alias("v")))
 
     own = sets.select("uid", "doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
@@ -445,7 +445,7 @@ def with_digests(docs: DataFrame) -> DataFrame:
 
     packed = docs.select(F.struct(*quoted(docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("key"), "text")
     schema = StructType([*packed.schema.fields, *(StructField(c, LongType()) for c in ("n", "d1", "d2"))])
-    return packed.mapInArrow(digests, schema)
+    return packed.mapInArrow(lean_batches(digests), schema)
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
