@@ -27,9 +27,14 @@ def short_type(c: Column) -> Column:
 
 def with_alternatives(framework: DataFrame) -> DataFrame:
     """One more row (``is_alt_welf``) for each survey with a second welfare measure; its own type is NULL there."""
-    main = framework.withColumn("is_alt_welf", F.lit(False))
-    alt = framework.where("oth_welfare1_type <> ''").withColumn("welfare_type", long_type(F.col("oth_welfare1_type")))
-    return main.unionByName(alt.drop("oth_welfare1_type").withColumn("is_alt_welf", F.lit(True)), allowMissingColumns=True)
+    # rows are doubled where they are read: a union would read the framework twice
+    measures = F.when(F.col("oth_welfare1_type") != "", F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = framework.withColumn("is_alt_welf", F.explode(measures))
+    alt = F.col("is_alt_welf")
+    return rows.withColumns({
+        "welfare_type": F.when(alt, long_type(F.col("oth_welfare1_type"))).otherwise(F.col("welfare_type")),
+        "oth_welfare1_type": F.when(~alt, F.col("oth_welfare1_type")),
+    })
 
 
 def with_cache_id(framework: DataFrame) -> DataFrame:

@@ -591,6 +591,13 @@ def load_auxiliary(spark, d):
     return rounded(surveys.load_auxiliary(spark, folder, "ppp"))
 
 
+@query("rename_raw", ctes("md") + " SELECT country_code, surveyid_year, survey_acronym, male AS gender, urban AS area, CAST(educat4 AS VARCHAR) AS imputation_id, hhid, pid FROM md")
+def rename_raw(spark, d):
+    given = {"country_code": "countrycode", "surveyid_year": "year", "survey_acronym": "survname"}
+    raw = micro(spark, d).select(*SURVEY_KEY, "male", "urban", F.col("educat4").cast("string").alias("sim"), "hhid", "pid").withColumnsRenamed(given)
+    return surveys.rename_raw(raw)
+
+
 _SAVED_SQL = """WITH steps AS (
   SELECT 1 AS step, 1 AS version, true AS was_written, count(*) AS n_rows, sum(c_custkey) AS total FROM customer UNION ALL SELECT 2, 1, false, count(*), sum(c_custkey) FROM customer
   UNION ALL SELECT 3, 2, true, count(*), sum(c_custkey) FROM customer WHERE c_custkey % 3 > 0 UNION ALL SELECT 4, 3, true, count(*), sum(c_custkey) FROM customer WHERE c_custkey % 3 > 0

@@ -65,6 +65,20 @@ def test_unknown_layouts(spark, pfw):  # noqa: F811
     assert [(r.country_code, r.weight, r.welfare) for r in found.rows.collect()] == [("AAA", 1.0, 1.0)]
 
 
+def test_modules_of_a_survey_are_judged_apart(spark, pfw):  # noqa: F811
+    g = lambda m, t: ("AAA", 2012.0, "SUR", m, 1.0, 1.0, 1, "income", t)
+    df = spark.createDataFrame([g("BIN", "T02"), g("GROUP", "T09"), g(None, "T01")], GROUP)
+    found = batch.process_batch(df, pfw(pfw_row()), "group")
+    assert [(r.module, r.cache_id, r.rule) for r in found.status.collect()] == [("GROUP", "AAA_2012_SUR_D2_INC_GROUP", "unknown_layout")]
+    assert sorted(r.cache_id for r in found.rows.collect()) == ["AAA_2012_SUR_D2_INC_", "AAA_2012_SUR_D2_INC_BIN"]
+
+
+def test_data_without_modules(spark, pfw):  # noqa: F811
+    df = micro(spark, [one(), one("BBB"), one("CCC", "1", -1.0)]).drop("module")
+    found = batch.process_batch(df, pfw(pfw_row(), pfw_row("CCC")), "micro")
+    assert rules(found) == [("BBB", "no_framework"), ("CCC", "no_valid_rows")] and [r.cache_id for r in found.rows.collect()] == ["AAA_2012_SUR_D2_INC_"]
+
+
 def test_counts_add_up(spark, pfw):  # noqa: F811
     nan = float("nan")
     values = [(1.0, 1.0), (None, 1.0), (nan, 1.0), (-1.0, 1.0), (1.0, None), (1.0, nan), (1.0, 0.0), (-1.0, None), (0.0, 2.0)]
