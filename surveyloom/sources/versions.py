@@ -19,7 +19,6 @@ import json
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,7 +152,7 @@ def save_version(df: DataFrame, path: str, force: bool = False, notes: dict[str,
             files.system.mkdirs(files.at(f"{path}/{MANIFESTS}"))
         if not files.publish(f"{path}/{MANIFESTS}/{found.number}.json", json.dumps(asdict(found))):
             raise SurveyError(f"version {found.number} of {path} was published by another writer meanwhile")
-    except (PySparkException, SurveyError):
+    except Exception:
         if files.exists(f"{path}/{folder}"):
             files.remove(f"{path}/{folder}")
         raise
