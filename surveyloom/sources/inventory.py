@@ -47,6 +47,12 @@ def month_first_time(c: Column) -> Column:
     Separators are free, years have two or four digits, hours are of the day or, with AM or PM, of its half.
     """
     found = F.coalesce(*[F.when(c.rlike(p), F.split(F.regexp_replace(c, p, "$1,$2,$3,$4,$5,$6,$7"), ",")) for p in TIME_PATTERNS])
+    # a lambda's argument is computed once; as a plain column the patterns would be matched wherever a part is named
+    return F.get(F.transform(F.array(found), time_of_parts), 0)
+
+
+def time_of_parts(found: Column) -> Column:
+    """The time of month, day, year, hour, minute, second and half of the day, all as text."""
     part = lambda k: F.get(found, k)
     number = lambda k: part(k).try_cast("int")
     named = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(part(0), 1, 3))), F.lit(0))
@@ -70,7 +76,10 @@ def survey_id_of(path: Column) -> Column:
 
 def survey_id_parts(survey_id: Column) -> dict[str, Column]:
     """The nine parts of a survey id; NULL where there are fewer. Their layout is an assumption of this library (see README)."""
-    parts = F.split(survey_id, "_")
+    return named_parts(F.split(survey_id, "_"))
+
+
+def named_parts(parts: Column) -> dict[str, Column]:
     return {name: F.get(parts, k) for k, name in enumerate(SURVEY_ID_PARTS)}
 
 
@@ -82,16 +91,23 @@ def judged_inventory(raw: DataFrame, root_dir: str = "") -> DataFrame:
     """Normalised paths, times and survey-id parts of all rows, and ``dropped_by``: the rule that leaves a row out, NULL for rows that stay."""
     require_columns(raw, ["fullname", "creationtime", "lastwritetime"], "inventory")
     others = [F.coalesce(c, F.lit("")).alias(c) for c in raw.columns if c not in ("fullname", "creationtime", "lastwritetime")]
-    named = raw.select(
-        clean_path(F.col("fullname"), root_dir).alias("fullname"),
+    path = clean_path(F.col("fullname"), root_dir)
+    survey_id = survey_id_of(path)
+    # through a generator each row is parsed once; from a plain select the optimizer copies the parsing into every filter on it
+    row = F.struct(
+        path.alias("fullname"),
         month_first_time(F.col("creationtime")).alias("creationtime"),
         month_first_time(F.col("lastwritetime")).alias("lastwritetime"),
         *others,
-    ).withColumn("survey_id", survey_id_of(F.col("fullname")))
-    parts = survey_id_parts(F.col("survey_id"))
+        survey_id.alias("_survey_id"),
+        F.split(survey_id, "_").alias("_parts"),
+    )
+    named = raw.select(F.inline(F.array(row))).withColumn("survey_id", F.col("_survey_id"))
+    parts = named_parts(F.col("_parts"))
     short = F.size(F.array_compact(F.array(*parts.values()))) < len(parts)
     broken = (F.col("fullname").isNull(), F.col("creationtime").isNull(), F.col("lastwritetime").isNull(), short, ~F.col("module").isin(MODULES))
-    return named.withColumns(parts).withColumn("dropped_by", F.coalesce(*[F.when(c, rule) for c, rule in zip(broken, RULES, strict=True)], F.lit(None).cast("string")))
+    judged = named.withColumns(parts).withColumn("dropped_by", F.coalesce(*[F.when(c, rule) for c, rule in zip(broken, RULES, strict=True)], F.lit(None).cast("string")))
+    return judged.drop("_survey_id", "_parts")
 
 
 def clean_inventory(raw: DataFrame, root_dir: str = "") -> DataFrame:

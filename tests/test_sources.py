@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveyloom.operators import checks
+from surveyloom.plans.survey_queries import QUERIES
 from surveyloom.sources import inventory, surveys, versions
 
 
@@ -121,6 +122,18 @@ def test_times(spark):
     assert [(r.t, r["at"]) for r in found] == TIMES
 
 
+def patterns_in(df):
+    """How often the plan matches a pattern of times."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE(")
+
+
+def test_a_row_is_parsed_once(spark, sf_dir):
+    raw = spark.createDataFrame([("D:\\x\\A_2000_S_V01_M_V01_A_COL_GPWG.dta", "1/2/2003 4:05:06 PM", "20/20/2003")], "fullname string, creationtime string, lastwritetime string")
+    # two columns, each against both layouts, and no more for the filters on them
+    assert patterns_in(inventory.clean_inventory(raw)) == patterns_in(inventory.judged_inventory(raw)) == 4
+    assert patterns_in(QUERIES["inventory_clean"](spark, sf_dir)) == 4
+
+
 def test_rows_left_out_are_counted(spark, tmp_path):
     line = lambda name, a="1/2/2020 3:04:05 PM", b="Mar 4, 2021 13:00:00": f'{name},{a},"{b}"\n'
     good = "D:\\x\\AAA_2010_SUR_V01_M_V02_A_COL_{}.dta".format
