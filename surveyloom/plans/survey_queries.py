@@ -506,8 +506,13 @@ _ORDER = ", ".join(inventory.ORDER)
 
 @query("inventory_order", f"WITH keys AS (SELECT DISTINCT {_ORDER} FROM ({ORACLES['inventory_clean']})) SELECT {_ORDER}, row_number() OVER (ORDER BY {_ORDER}) AS place FROM keys")
 def inventory_order(spark, d):
-    placed = _inventory(spark, d).orderBy(*inventory.ORDER).withColumn("at", F.monotonically_increasing_id())
-    return placed.groupBy(*inventory.ORDER).agg(F.min("at").alias("at")).withColumn("place", F.row_number().over(Window.orderBy("at")).cast("long")).drop("at")
+    # the keys alone are sorted, by all tasks; places are those in the sorted files, so no task sees all keys
+    path = scratch(spark, "ordered-keys")
+    _inventory(spark, d).select(*inventory.ORDER).distinct().orderBy(*inventory.ORDER).write.parquet(path)
+    rows = spark.read.parquet(path).select(*inventory.ORDER, F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    earlier = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n")).select("file", F.coalesce(earlier, F.lit(0)).alias("before"))
+    return rows.join(files, "file").select(*inventory.ORDER, (F.col("before") + F.col("row") + 1).cast("long").alias("place"))
 
 
 _STAMP = "concat(CAST(1 + c_custkey % 12 AS VARCHAR(20)), {s}, CAST(1 + c_custkey % 28 AS VARCHAR(20)), {s}, {y}, ' ', CAST({h} AS VARCHAR(20)), ':07:', CAST(10 + c_custkey % 50 AS VARCHAR(20)){m})"

@@ -134,6 +134,13 @@ def test_a_row_is_parsed_once(spark, sf_dir):
     assert patterns_in(QUERIES["inventory_clean"](spark, sf_dir)) == 4
 
 
+def test_places_are_counted_over_sorted_keys_only(spark, sf_dir):
+    df = QUERIES["inventory_order"](spark, sf_dir)
+    assert patterns_in(df) == 0 and "monotonically" not in df._jdf.queryExecution().optimizedPlan().toString()
+    rows = sorted((tuple(r)[:-1], r.place) for r in df.collect())
+    assert [place for _, place in rows] == list(range(1, len(rows) + 1)) and len({key for key, _ in rows}) == len(rows) > 1
+
+
 def test_rows_left_out_are_counted(spark, tmp_path):
     line = lambda name, a="1/2/2020 3:04:05 PM", b="Mar 4, 2021 13:00:00": f'{name},{a},"{b}"\n'
     good = "D:\\x\\AAA_2010_SUR_V01_M_V02_A_COL_{}.dta".format
