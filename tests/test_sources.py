@@ -141,6 +141,12 @@ def test_places_are_counted_over_sorted_keys_only(spark, sf_dir):
     assert [place for _, place in rows] == list(range(1, len(rows) + 1)) and len({key for key, _ in rows}) == len(rows) > 1
 
 
+def test_digests_of_the_cases_parse_once(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(inventory, "digest", lambda df, own=inventory.digest: seen.append(patterns_in(df)) or own(df))
+    assert {r.case_: r.equal for r in QUERIES["inventory_digest"](spark, sf_dir).collect()}["same rows"] and set(seen) == {0}
+
+
 def test_rows_left_out_are_counted(spark, tmp_path):
     line = lambda name, a="1/2/2020 3:04:05 PM", b="Mar 4, 2021 13:00:00": f'{name},{a},"{b}"\n'
     good = "D:\\x\\AAA_2010_SUR_V01_M_V02_A_COL_{}.dta".format
