@@ -43,12 +43,13 @@ class Batch:
 def surveys_of(df: DataFrame, kind: str) -> DataFrame:
     """(survey key, module, n_rows, bad_layout): one row per survey and module of the data."""
     module = F.col("module") if "module" in df.columns else F.lit(None).cast("string")
-    layout = F.lit(None).cast("string")
+    keyed = df.select(*[F.col(k) for k in SURVEY_KEY], module.alias("module"), *(["gd_type"] if kind == "group" else []))
+    rows = F.count(F.lit(1)).alias("n_rows")
     if kind == "group":
         known = F.coalesce(gd_type_code(F.col("gd_type")).isin(list(LAYOUTS)), F.lit(False))
-        layout = F.when(~known, F.coalesce("gd_type", F.lit("NULL")))
-    keyed = df.select(*[F.col(k) for k in SURVEY_KEY], module.alias("module"), layout.alias("_layout"))
-    return keyed.groupBy(*SURVEY_KEY, "module").agg(F.count(F.lit(1)).alias("n_rows"), F.min("_layout").alias("bad_layout"))
+        return keyed.groupBy(*SURVEY_KEY, "module").agg(rows, F.min(F.when(~known, F.coalesce("gd_type", F.lit("NULL")))).alias("bad_layout"))
+    # the least text, though it is always NULL here, would have every task sort its rows
+    return keyed.groupBy(*SURVEY_KEY, "module").agg(rows).withColumn("bad_layout", F.lit(None).cast("string"))
 
 
 def framework_of_keys(pfw: DataFrame) -> DataFrame:
@@ -96,26 +97,30 @@ def judged_surveys(df: DataFrame, pfw: DataFrame, kind: str, alternatives: bool,
     return stored(found.select(*SURVEY_KEY, "module", "cache_id", first(0).alias("rule"), first(1).alias("message"), "n_rows"), "surveys")
 
 
-def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def accounted(rows: DataFrame, kind: str) -> tuple[DataFrame, dict[str, int]]:
-    """Cleaned rows with ``dropped_by``, in a table with a folder for each rule, and the number of rows by rule."""
+    """Cleaned rows with ``dropped_by``, in one table, and the number of rows by rule.
+
+    No folder for each rule: a task would sort all its rows by rule, wide as they are, to have one file open at a time.
+    """
     seen = Observation("rows by rule")
     rules = rules_of(kind)
     judged = rows.withColumn(DROPPED, dropped_by(kind))
     counted = [F.count_if(F.col(DROPPED).isNull()).alias("kept"), *[F.count_if(F.col(DROPPED) == r).alias(r) for r in rules]]
-    table = stored(judged.observe(seen, *counted), "judged", DROPPED)
+    table = stored(judged.observe(seen, *counted), "judged")
     return table, seen.get
 
 
 def _batch(df: DataFrame, pfw: DataFrame, kind: str, alternatives: bool, repeated: dict[str, tuple[DataFrame, str]]) -> Batch:
     require_columns(df, SURVEY_KEY, "survey data")
     surveys = judged_surveys(df, pfw, kind, alternatives, repeated)
-    framework = survey_framework(surveys.where("rule IS NULL"), pfw, alternatives, validate=False)
+    # written, so that its size is known and it is broadcast: else all rows are dealt by survey, and a task sorts a whole survey
+    framework = stored(survey_framework(surveys.where("rule IS NULL"), pfw, alternatives, validate=False), "framework")
     rows = split_alt_welfare(df, framework) if alternatives else with_framework(df, framework)
     table, totals = accounted(clean(rows, kind), kind)
     counts = table.groupBy("cache_id", DROPPED).agg(F.count(F.lit(1)).alias("n"))
