@@ -8,7 +8,6 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveyloom.functions.nulls import count_distinct_na
 from surveyloom.functions.schema import CLEAN_COLUMNS, CLEAN_TYPES, DATA_LEVELS, SURVEY_KEY
 from surveyloom.operators import checks, clean, enrich, framework, population, profile, split, validity
 from surveyloom.plans import batch, pipeline
@@ -184,8 +183,8 @@ _MD = ["country_code", "surveyid_year", "survey_acronym", "module", "hhid", "pid
 def uniq_vars(spark, d):
     df = micro(spark, d).select(*_MD)
     flags = profile.single_valued_flags(df).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, _MD)), F.array(*_MD))).alias("variable", "is_single"))
-    counts = df.agg(*[count_distinct_na(c).cast("long").alias(c) for c in _MD]).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, _MD)), F.array(*_MD))).alias("variable", "n_values"))
-    return flags.join(counts, "variable")
+    # of an empty table no value is counted
+    return flags.join(profile.distinct_counts(df), "variable", "left").withColumn("n_values", F.coalesce("n_values", F.lit(0).cast("long")))
 
 
 _SINGLE_VIEW = "SELECT gdp_domain, n_rows, inpovcal, country_code FROM (SELECT *, 25 AS n_rows FROM pfw)"

@@ -11,6 +11,7 @@ from surveyloom.operators import checks, clean, enrich, framework, population, p
 from surveyloom.plans import pipeline
 from surveyloom.plans.adapters import view
 from surveyloom.plans.results import captured
+from surveyloom.plans.survey_queries import QUERIES
 from surveyloom.sources import inventory, surveys, versions
 from surveyloom.sources.config import Locations
 
@@ -47,6 +48,18 @@ def test_single_values_count_null(spark):
     assert profile.uniq_vars(df.limit(0)) == []
 
 
+def test_distinct_counts(spark):
+    nan = float("nan")
+    rows = [("a", None, 1.0, nan, 1), ("a", None, 0.0, nan, 2), ("b", None, -0.0, None, 2)]
+    df = spark.createDataFrame(rows, "x string, y string, z double, `w.w` double, k int")
+    assert {r.variable: r.n_values for r in profile.distinct_counts(df).collect()} == {"x": 2, "y": 1, "z": 2, "w.w": 2, "k": 2}
+    assert profile.distinct_counts(df.limit(0)).count() == 0
+
+
+def test_no_row_is_expanded_to_all_columns(spark, sf_dir):
+    assert "Expand" not in QUERIES["uniq_vars"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_null_helpers(spark):
     df = spark.createDataFrame([(1, 2, 1.0), (None, 3, 1.0)], "a int, b int, w double")
     assert [r[0] for r in df.select(nulls.greatest_na(F.col("a"), F.col("b"))).collect()] == [2, None]
